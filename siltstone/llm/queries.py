@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import packing, simhash, token_files
+from . import decontaminate, packing, quality, simhash, token_files
 from .common import shared_folder, table
 
 
+def op2_decontamination(spark, sf_dir):
+    found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.groupBy("doc_id", "item_id").agg(F.round(F.max("similarity"), 6).alias("similarity"))
+
+
 def op6_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -17,11 +22,16 @@ def op8_simhash(spark, sf_dir):
     return found.select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op9_quality_rules(spark, sf_dir):
+    judged = quality.quality_rules(table(spark, sf_dir, "documents"), ["doc_id"])
+    return judged.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op10_token_files(spark, sf_dir):
     folder = shared_folder(spark, "token-files")
     token_files.write_token_files(table(spark, sf_dir, "documents"), folder)
     return token_files.read_token_files(spark, folder)
 
 
-QUERIES = {f.__name__: f for f in (op6_packing, op8_simhash, op10_token_files)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op2_decontamination, op6_packing, op8_simhash, op9_quality_rules, op10_token_files)}
+ORACLES: dict[str, str] = {"op2_decontamination": decontaminate.ORACLE, "op9_quality_rules": quality.ORACLE}

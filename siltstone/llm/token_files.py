@@ -1,8 +1,9 @@
-"""Operator 10: token ids in flat files of unsigned 32-bit integers with 64-bit document offsets.
+"""Operator 10: token ids in flat files of unsigned integers with 64-bit document offsets.
 
 Rows are range-partitioned by doc_id and sorted, each task writes one shard (``.bin`` ids, ``.idx`` uint64 offsets,
 ``.doc`` int64 doc ids), and a shard's base is the prefix sum of the token counts before it. A shard is written under an
-attempt's own name and then renamed, so a retried task replaces it whole. Files are read back by memory map.
+attempt's own name and then renamed, so a retried task replaces it whole. Files are read back by memory map. Ids are
+uint16 where the vocabulary and the end token fit in 16 bits, else uint32.
 
 Nulls: a null text is an empty one (its end token alone); a null doc_id sorts first and is stored as the least int64.
 Repeated doc_ids are stored as often as they occur, in the order of their texts' hash. An empty table gives an empty
@@ -31,6 +32,7 @@ MANIFEST = "shard long, docs long, tokens long"
 def write_token_files(docs: DataFrame, folder: str, end_id: int = 1, tokenizer: str | None = None) -> list[dict]:
     """Writes the shards and ``manifest.json``; returns the manifest: shard, docs, tokens and base of each."""
     path = tokenizer or default_tokenizer()
+    dtype = "<u2" if max(encoder(path).tokenizer.get_vocab_size() - 1, end_id) < 1 << 16 else "<u4"
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     ordered = slim.withColumn("h", F.xxhash64("text"))
     ordered = ordered.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "text")
@@ -46,7 +48,7 @@ def write_token_files(docs: DataFrame, folder: str, end_id: int = 1, tokenizer:
                 ids += [NULL_ID if x is None else x for x in batch.column(0).to_pylist()]
                 for text in batch.column(1).cast(pa.binary()).to_pylist():
                     data = encode(text) + end
-                    out.write(data)
+                    out.write(data if dtype == "<u4" else np.frombuffer(data, "<u4").astype(dtype).tobytes())
                     offsets.append(offsets[-1] + len(data) // 4)
         np.array(offsets, "<u8").tofile(f"{stem}.idx.{attempt}")
         np.array(ids, "<i8").tofile(f"{stem}.doc.{attempt}")
@@ -58,14 +60,15 @@ def write_token_files(docs: DataFrame, folder: str, end_id: int = 1, tokenizer:
     bases = [0, *accumulate(r.tokens for r in rows)]
     manifest = [{**r.asDict(), "base": b} for r, b in zip(rows, bases, strict=False)]
     with open(os.path.join(folder, "manifest.json"), "w") as f:
-        json.dump({"dtype": "uint32", "byte_order": "little", "end_id": end_id, "shards": manifest}, f)
+        json.dump({"dtype": dtype, "end_id": end_id, "shards": manifest}, f)
     return manifest
 
 
 def read_token_files(spark: SparkSession, folder: str, with_ids: bool = False) -> DataFrame:
     """One row per stored document: doc_id, start (tokens before it in the whole set), n_tokens, ids_crc32 and ids."""
     with open(os.path.join(folder, "manifest.json")) as f:
-        shards = [(s["shard"], s["base"]) for s in json.load(f)["shards"] if s["docs"]]
+        manifest = json.load(f)
+    dtype, shards = manifest["dtype"], [(s["shard"], s["base"]) for s in manifest["shards"] if s["docs"]]
     names = ["doc_id", "start", "n_tokens", "ids_crc32"] + ["ids"] * with_ids
 
     def run(batches):
@@ -73,12 +76,12 @@ def read_token_files(spark: SparkSession, folder: str, with_ids: bool = False) -
             for shard, base in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 stem = os.path.join(folder, f"shard-{shard:06d}")
                 offsets, docs = np.memmap(f"{stem}.idx", "<u8", "r").astype(np.int64), np.memmap(f"{stem}.doc", "<i8", "r")
-                ids = np.memmap(f"{stem}.bin", "<u4", "r")
+                ids = np.memmap(f"{stem}.bin", dtype, "r")
                 step = 500 if with_ids else 20_000
                 for i in range(0, len(docs), step):
                     j = min(i + step, len(docs))
                     parts = [ids[a:b] for a, b in zip(offsets[i:j], offsets[i + 1 : j + 1], strict=True)]
-                    columns = [pa.array([None if x == NULL_ID else x for x in docs[i:j].tolist()], pa.int64()), pa.array(offsets[i:j] + base), pa.array(np.diff(offsets[i : j + 1])), pa.array([crc32(p.tobytes()) for p in parts], pa.int64())]
+                    columns = [pa.array([None if x == NULL_ID else x for x in docs[i:j].tolist()], pa.int64()), pa.array(offsets[i:j] + base), pa.array(np.diff(offsets[i : j + 1])), pa.array([crc32(p.astype("<u4").tobytes()) for p in parts], pa.int64())]
                     columns += [pa.array([p.tolist() for p in parts], pa.list_(pa.int64()))] * with_ids
                     yield pa.RecordBatch.from_arrays(columns, names=names)
 
