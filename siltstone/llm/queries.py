@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, quality, simhash, token_files
+from . import decontaminate, lines, packing, quality, simhash, token_files
 from .common import shared_folder, table
 
 
+def op1_line_dedup(spark, sf_dir):
+    kept = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", F.col("dedup_lines").alias("n_lines"), F.col("dedup_removed").alias("n_removed"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op2_decontamination(spark, sf_dir):
     found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.groupBy("doc_id", "item_id").agg(F.round(F.max("similarity"), 6).alias("similarity"))
@@ -33,5 +38,5 @@ def op10_token_files(spark, sf_dir):
     return token_files.read_token_files(spark, folder)
 
 
-QUERIES = {f.__name__: f for f in (op2_decontamination, op6_packing, op8_simhash, op9_quality_rules, op10_token_files)}
-ORACLES: dict[str, str] = {"op2_decontamination": decontaminate.ORACLE, "op9_quality_rules": quality.ORACLE}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_decontamination, op6_packing, op8_simhash, op9_quality_rules, op10_token_files)}
+ORACLES: dict[str, str] = {"op1_line_dedup": lines.ORACLE, "op2_decontamination": decontaminate.ORACLE, "op9_quality_rules": quality.ORACLE}
