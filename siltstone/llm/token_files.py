@@ -76,11 +76,12 @@ def read_token_files(spark: SparkSession, folder: str, with_ids: bool = False) -
             for shard, base in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 stem = os.path.join(folder, f"shard-{shard:06d}")
                 offsets, docs = np.memmap(f"{stem}.idx", "<u8", "r").astype(np.int64), np.memmap(f"{stem}.doc", "<i8", "r")
-                ids = np.memmap(f"{stem}.bin", dtype, "r")
+                ids = np.asarray(np.memmap(f"{stem}.bin", dtype, "r"))
                 step = 500 if with_ids else 20_000
                 for i in range(0, len(docs), step):
                     j = min(i + step, len(docs))
-                    parts = [ids[a:b] for a, b in zip(offsets[i:j], offsets[i + 1 : j + 1], strict=True)]
+                    edges = offsets[i : j + 1].tolist()
+                    parts = [ids[a:b] for a, b in zip(edges, edges[1:], strict=False)]
                     columns = [pa.array([None if x == NULL_ID else x for x in docs[i:j].tolist()], pa.int64()), pa.array(offsets[i:j] + base), pa.array(np.diff(offsets[i : j + 1])), pa.array([crc32(p.astype("<u4").tobytes()) for p in parts], pa.int64())]
                     columns += [pa.array([p.tolist() for p in parts], pa.list_(pa.int64()))] * with_ids
                     yield pa.RecordBatch.from_arrays(columns, names=names)

@@ -40,7 +40,7 @@ class ChunkCache(dict):
 
         super().__init__()
         self.tokenizer, self.limit, self.old = Tokenizer.from_file(path), limit, {}
-        self.model, self.pieces = self.tokenizer.model, {}
+        self.model, self.pieces, self.old_pieces = self.tokenizer.model, {}, {}
         alphabet = _byte_alphabet()
         self.alphabet = {b: alphabet[b] for b in range(256)}
         self.word_ends = self.tokenizer.encode("a b", add_special_tokens=False).tokens == ["a</w>", "b</w>"]
@@ -48,22 +48,28 @@ class ChunkCache(dict):
     def _piece(self, piece: str) -> bytes:
         out = self.pieces.get(piece)
         if out is None:
-            shown = piece if piece.isascii() else "".join(map(self.alphabet.__getitem__, piece.encode()))
-            out = np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
+            out = self.old_pieces.get(piece)
+            if out is None:
+                shown = piece if piece.isascii() else "".join(map(self.alphabet.__getitem__, piece.encode()))
+                out = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(shown)])
             if len(self.pieces) >= self.limit:
-                self.pieces.clear()
-            if len(piece) < 64:
-                self.pieces[piece] = out
+                self.old_pieces, self.pieces = self.pieces, {}
+            self.pieces[piece] = out
         return out
 
     def _encode(self, chunk: bytes) -> bytes:
         text = chunk.decode("utf-8", "replace")
-        if self.word_ends and b"<|" not in chunk and _PLAIN.fullmatch(text):
-            return b"".join(map(self._piece, _PIECES.findall(text.lower())))
+        if self.word_ends and len(chunk) < 64 and b"<|" not in chunk and _PLAIN.fullmatch(text):
+            lower = text.lower()
+            if lower.isalpha():
+                return self._piece(lower)
+            if lower[:-1].isalpha() and lower.isascii() and not lower[-1].isdigit():  # a word and one sign
+                return self._piece(lower[:-1]) + self._piece(lower[-1])
+            return b"".join(map(self._piece, _PIECES.findall(lower)))
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def __missing__(self, chunk: bytes) -> bytes:
-        out = self.old.pop(chunk, None)
+        out = self.old.get(chunk)
         if out is None:
             out = self._encode(chunk)
         if len(chunk) < 64:
