@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, lines, packing, quality, simhash, token_files
+from . import decontaminate, lines, packing, quality, simhash, substrings, suffixes, token_files
 from .common import shared_folder, table
 
 
@@ -18,10 +18,18 @@ def op2_decontamination(spark, sf_dir):
     return found.groupBy("doc_id", "item_id").agg(F.round(F.max("similarity"), 6).alias("similarity"))
 
 
+def op5_substring_dedup(spark, sf_dir):
+    return substrings.remove_repeated_passages(table(spark, sf_dir, "documents"), with_text=False).drop("kept_text")
+
+
 def op6_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_dedup(spark, sf_dir):
+    return suffixes.remove_repeated_bytes(table(spark, sf_dir, "documents"), with_bytes=False).drop("kept_bytes", "spans")
+
+
 def op8_simhash(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
@@ -38,5 +46,5 @@ def op10_token_files(spark, sf_dir):
     return token_files.read_token_files(spark, folder)
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_decontamination, op6_packing, op8_simhash, op9_quality_rules, op10_token_files)}
-ORACLES: dict[str, str] = {"op1_line_dedup": lines.ORACLE, "op2_decontamination": decontaminate.ORACLE, "op9_quality_rules": quality.ORACLE}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_decontamination, op5_substring_dedup, op6_packing, op7_suffix_dedup, op8_simhash, op9_quality_rules, op10_token_files)}
+ORACLES: dict[str, str] = {"op1_line_dedup": lines.ORACLE, "op2_decontamination": decontaminate.ORACLE, "op5_substring_dedup": substrings.ORACLE, "op9_quality_rules": quality.ORACLE}
