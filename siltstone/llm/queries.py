@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, lines, packing, quality, simhash, substrings, suffixes, token_files
+from . import decontaminate, html, lines, packing, quality, simhash, substrings, suffixes, token_files, urls
 from .common import shared_folder, table
 
 
@@ -18,6 +18,14 @@ def op2_decontamination(spark, sf_dir):
     return found.groupBy("doc_id", "item_id").agg(F.round(F.max("similarity"), 6).alias("similarity"))
 
 
+def op3_html_extraction(spark, sf_dir):
+    return html.extract_main_text(table(spark, sf_dir, "pages"))
+
+
+def op4_url_filter(spark, sf_dir):
+    return urls.judge_urls(table(spark, sf_dir, "pages")).drop("url")
+
+
 def op5_substring_dedup(spark, sf_dir):
     return substrings.remove_repeated_passages(table(spark, sf_dir, "documents"), with_text=False).drop("kept_text")
 
@@ -46,5 +54,5 @@ def op10_token_files(spark, sf_dir):
     return token_files.read_token_files(spark, folder)
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_decontamination, op5_substring_dedup, op6_packing, op7_suffix_dedup, op8_simhash, op9_quality_rules, op10_token_files)}
-ORACLES: dict[str, str] = {"op1_line_dedup": lines.ORACLE, "op2_decontamination": decontaminate.ORACLE, "op5_substring_dedup": substrings.ORACLE, "op9_quality_rules": quality.ORACLE}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_decontamination, op3_html_extraction, op4_url_filter, op5_substring_dedup, op6_packing, op7_suffix_dedup, op8_simhash, op9_quality_rules, op10_token_files)}
+ORACLES: dict[str, str] = {"op1_line_dedup": lines.ORACLE, "op2_decontamination": decontaminate.ORACLE, "op4_url_filter": urls.ORACLE, "op5_substring_dedup": substrings.ORACLE, "op9_quality_rules": quality.ORACLE}

@@ -48,15 +48,15 @@ def fingerprint(text: bytes | None, shingle: int = 3, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame:
-    """doc_id and ``fp``, the fingerprint's bits as a signed long."""
+    """doc_id, ``text_key`` (xxhash64 of the text) and ``fp``, the fingerprint's bits as a signed long."""
 
     def run(batches):
         for batch in batches:
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             prints = np.array([fingerprint(t, shingle, seed) for t in texts], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(prints.view(np.int64))], names=["doc_id", "text_key", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("text_key")).mapInArrow(run, "doc_id long, text_key long, fp long")
 
 
 def blocks(k: int) -> list[tuple[int, int]]:
@@ -122,8 +122,9 @@ def links_of(homes: np.ndarray, visitors: np.ndarray, threshold: int, cells: int
     return np.concatenate(a), np.concatenate(b)
 
 
-def near_duplicates(docs: DataFrame, threshold: int = 3, shingle: int = 3, seed: int = 42, home_size: int = 128, anchor_rows: int = 100_000) -> DataFrame:
-    """doc_id, fp (signed long) and component_id, the smallest doc_id reachable over links of <= threshold bits."""
+def near_duplicates(docs: DataFrame, threshold: int = 3, shingle: int = 3, seed: int = 42, home_size: int = 128, anchor_rows: int = 100_000, with_text_key: bool = False) -> DataFrame:
+    """doc_id, fp (signed long) and component_id, the smallest doc_id reachable over links of <= threshold bits;
+    with_text_key adds text_key and root, which names the component even if all its doc_ids are null."""
     prints = materialize(fingerprints(docs, shingle, seed), "simhash")
     distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash")
     n = distinct.count()
@@ -163,8 +164,8 @@ def near_duplicates(docs: DataFrame, threshold: int = 3, shingle: int = 3, seed:
     drop(hot)
     classes = materialize(distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "rep", F.coalesce("root", "fp").alias("root")), "simhash")
     names = classes.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = classes.join(names, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = classes.join(names, "root").select("fp", "component_id", "root")
+    return prints.join(named, "fp").select("doc_id", "fp", "component_id", *["text_key", "root"] * with_text_key)
 
 
 def fingerprint_hex(fp):
