@@ -1,17 +1,9 @@
-"""The registered queries of the library, each with its DuckDB SQL where SQL can express it."""
+"""All registered queries of the library; importing this module fills the registry."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from .plans import text
+from .registry import ORACLES, QUERIES
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
-
-
-FLAGSHIP = exact_dedup
+FLAGSHIP = text.clean_text
+__all__ = ["FLAGSHIP", "ORACLES", "QUERIES", "text"]
