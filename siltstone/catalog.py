@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from .plans import text
+from .plans import dedup, text
 from .registry import ORACLES, QUERIES
 
-FLAGSHIP = text.clean_text
-__all__ = ["FLAGSHIP", "ORACLES", "QUERIES", "text"]
+FLAGSHIP = dedup.line_dedup
+__all__ = ["FLAGSHIP", "ORACLES", "QUERIES", "dedup", "text"]
