@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from .plans import dedup, text
+from .plans import dedup, stats, text
 from .registry import ORACLES, QUERIES
 
 FLAGSHIP = dedup.line_dedup
-__all__ = ["FLAGSHIP", "ORACLES", "QUERIES", "dedup", "text"]
+__all__ = ["FLAGSHIP", "ORACLES", "QUERIES", "dedup", "stats", "text"]
