@@ -19,14 +19,16 @@ are returned, whatever their names.
 
 from __future__ import annotations
 
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, drop, let, materialize
+from .common import broadcast_if_small, drop, materialize
 
 _SIGN = 1 << 63
+_BLANK = " \t\r\x0b\x0c"
 
 
 def _signed(x: int) -> int:
@@ -53,16 +55,10 @@ def part_keys(line: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def neighbourhood(line: str, parts: set[tuple[int, int]]) -> list[tuple[int, int, int, int]]:
-    """(h1, h2, place, kind): the line itself (kind 0, place -1) and its deletions at the places inside the parts, once
-    by the string alone (kind 1, place -1) and once with the place (kind 2)."""
+def neighbourhood(line: str, parts: set[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """(h1, h2, place): the line itself (place -1) and its deletions at the places inside the parts."""
     places = sorted({i for u, part in parts for i in range(part * u, len(line) - (3 - part) * u)})
-    out = [(*line_hash(line.encode()), -1, 0)]
-    for i in places:
-        h = line_hash((line[:i] + line[i + 1 :]).encode())
-        out.append((*h, -1, 1))
-        out.append((*h, i, 2))
-    return out
+    return [(*line_hash(line.encode()), -1), *((*line_hash((line[:i] + line[i + 1 :]).encode()), i) for i in places)]
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 16) -> DataFrame:
@@ -75,7 +71,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 16) -> DataFrame:
             rows = []
             for doc, tk, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 for n, line in enumerate((text or "").split("\n")):
-                    if line.strip(" \t\r\x0b\x0c"):
+                    if line.strip(_BLANK):
                         near = [k for k, _, _ in part_keys(line)] if len(line) >= min_chars - 1 else []
                         rows.append((*line_hash(line.encode()), doc, tk, n, near))
             for i in range(0, len(rows), 20_000):
@@ -132,50 +128,72 @@ def dedup_lines(docs: DataFrame, min_chars: int = 16) -> DataFrame:
 
     texts = materialize(held.mapInArrow(pick, "h1 long, h2 long, doc long, tk long, n int, slots array<int>, line string").dropDuplicates(["h1", "h2"]), "lines-text")
 
+    names = ["v1", "v2", "doc", "tk", "n", "place", "h1", "h2"]
+
     def emit(batches):
         for batch in batches:
             rows = []
             for h1, h2, doc, tk, n, slots, line in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 keys = part_keys(line)
-                rows += [(*v, h1, h2, doc, tk, n) for v in neighbourhood(line, {keys[s][1:] for s in slots})]
+                rows += [(v1, v2, doc, tk, n, place, h1, h2) for v1, v2, place in neighbourhood(line, {keys[s][1:] for s in slots})]
                 if len(rows) > 50_000:
                     yield out(rows)
                     rows = []
             yield out(rows)
 
-    names = ["v1", "v2", "place", "kind", "h1", "h2", "doc", "tk", "n"]
-
     def out(rows):
-        c = list(zip(*rows, strict=True)) if rows else [()] * 9
-        return pa.RecordBatch.from_arrays([pa.array(x, pa.int32() if k in ("place", "kind", "n") else pa.int64()) for x, k in zip(c, names, strict=True)], names=names)
-
-    variants = texts.mapInArrow(emit, "v1 long, v2 long, place int, kind int, h1 long, h2 long, doc long, tk long, n int")
-    # The earliest of each kind under each key: a key's lines are never paired with each other one by one.
-    line = F.struct(F.struct("doc", "tk", "n").alias("at"), "h1", "h2")
-    earliest = variants.groupBy("v1", "v2", "place").agg(
-        *[F.min(F.when(F.col("kind") == k, line)).alias(x) for k, x in enumerate(("whole", "cut", "same"))], F.min(line).alias("lead"), F.max(line).alias("last")
-    )
-    earliest = materialize(earliest.where("lead <> last").select("v1", "v2", "place", "whole", "cut", "same"), "lines-first")
-    pairs = variants.join(earliest, ["v1", "v2", "place"]).select(
-        line.alias("mine"), F.when(F.col("kind") == 0, F.col("cut")).when(F.col("kind") == 1, F.col("whole")).otherwise(F.col("same")).alias("other")
-    ).where("other.at < mine.at")
-    pairs = materialize(pairs.groupBy("mine").agg(F.min("other").alias("other")).select(F.col("mine.h1").alias("h1"), F.col("mine.h2").alias("h2"), F.col("other.h1").alias("o1"), F.col("other.h2").alias("o2")), "lines-pairs")
+        c = list(zip(*rows, strict=True)) if rows else [()] * 8
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int32() if k in ("place", "n") else pa.int64()) for x, k in zip(c, names, strict=True)], names=names)
+
+    def meet(batches):
+        """Rows sorted by key, then by the line's place in the corpus: each line with the earliest one that it meets.
+
+        Under one key, the whole line meets deletions and a deletion meets the whole line and deletions of its place.
+        Earlier lines come first, so the earliest of each place is all that is held.
+        """
+        key, whole, cut, same = None, None, None, {}
+        for batch in batches:
+            found = []
+            for v1, v2, _, _, _, place, h1, h2 in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (v1, v2) != key:
+                    key, whole, cut = (v1, v2), None, None
+                    same.clear()
+                me = (h1, h2)
+                others = (cut,) if place < 0 else (whole, same.get(place))
+                found += [(h1, h2, *x) for x in others if x and x != me]
+                if place < 0:
+                    whole = whole or me
+                else:
+                    cut = cut or me
+                    same.setdefault(place, me)
+            c = list(zip(*found, strict=True)) if found else [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in c], names=["h1", "h2", "o1", "o2"])
+
+    variants = texts.mapInArrow(emit, "v1 long, v2 long, doc long, tk long, n int, place int, h1 long, h2 long")
+    variants = variants.repartition("v1", "v2").sortWithinPartitions("v1", "v2", "doc", "tk", "n", "place")
+    pairs = materialize(variants.mapInArrow(meet, "h1 long, h2 long, o1 long, o2 long").distinct(), "lines-pairs")
     a, b = texts.select("h1", "h2", F.col("line").alias("a")), texts.select(F.col("h1").alias("o1"), F.col("h2").alias("o2"), F.col("line").alias("b"))
     gone = materialize(pairs.join(a, ["h1", "h2"]).join(b, ["o1", "o2"]).where(F.levenshtein("a", "b", 1) >= 0).where(F.length("a") >= min_chars).select("h1", "h2"), "lines-gone")
 
     kept = first.select("h1", "h2", "at").join(gone, ["h1", "h2"], "left_anti").groupBy(F.col("at.doc").alias("doc"), F.col("at.tk").alias("tk")).agg(F.collect_list("at.n").alias("kept"))
     joined = boxed.alias("l").join(kept.alias("r"), F.col("l.doc").eqNullSafe(F.col("r.doc")) & (F.col("l.tk") == F.col("r.tk")), "left")
-    solid = lambda x: F.translate(x, " \t\r\x0b\x0c", "") != ""
-    mine = F.coalesce(F.col("kept"), F.array().cast("array<int>"))
-
-    def rebuilt(x):
-        blank = F.filter(F.sequence(F.lit(0), F.size(x) - 1), lambda i: ~solid(F.get(x, i)))
-        stays = F.array_sort(F.array_union(blank, mine))
-        return F.struct(F.array_join(F.transform(stays, lambda i: F.get(x, i)), "\n").alias("text"), (F.size(x) - F.size(blank)).alias("lines"))
 
-    out = joined.select("row", let(F.split(F.coalesce("txt", F.lit("")), "\n"), rebuilt).alias("o"), "txt", F.size(mine).alias("kept"))
-    plain = [F.col(f"row.`{c}`").alias(c) if c != "text" else F.when(F.col("txt").isNotNull(), F.col("o.text")).alias("text") for c in cols if c not in ("dedup_lines", "dedup_removed")]
-    return out.select(*plain, F.col("o.lines").alias("dedup_lines"), (F.col("o.lines") - F.col("kept")).alias("dedup_removed"))
+    @F.pandas_udf("text string, lines int, removed int")
+    def rebuilt(texts: pd.Series, kept: pd.Series) -> pd.DataFrame:
+        rows = []
+        for text, mine in zip(texts, kept, strict=True):
+            if text is None:
+                rows.append((None, 0, 0))
+                continue
+            mine = set() if mine is None else set(mine.tolist())
+            parts = text.split("\n")
+            solid = [bool(x.strip(_BLANK)) for x in parts]
+            rows.append(("\n".join([x for i, x in enumerate(parts) if i in mine or not solid[i]]), sum(solid), sum(solid) - len(mine)))
+        return pd.DataFrame(rows, columns=["text", "lines", "removed"])
+
+    out = joined.select("row", rebuilt("txt", "kept").alias("o"))
+    plain = [F.col(f"row.`{c}`").alias(c) if c != "text" else F.col("o.text").alias("text") for c in cols if c not in ("dedup_lines", "dedup_removed")]
+    return out.select(*plain, F.col("o.lines").alias("dedup_lines"), F.col("o.removed").alias("dedup_removed"))
 
 
 ORACLE = r"""
