@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from .plans import dedup, mixing, stats, text
+from .plans import dedup, mixing, serving, stats, text
 from .registry import ORACLES, QUERIES
 
 FLAGSHIP = dedup.line_dedup
-__all__ = ["FLAGSHIP", "ORACLES", "QUERIES", "dedup", "mixing", "stats", "text"]
+__all__ = ["FLAGSHIP", "ORACLES", "QUERIES", "dedup", "mixing", "serving", "stats", "text"]
