@@ -3,8 +3,8 @@
 A text is a sequence of symbols (words or bytes). Every window of ``window`` symbols has an anchor: the ``gram`` of it
 with the least rolling hash, so equal windows have equal anchors at the same place in them. Anchors that occur once in
 the corpus rule out all their windows; this leaves few. Windows with the same anchor follow each other, and the stretch
-that they cover is a piece. Pieces are grouped by anchor, equal ones are counted before they are shuffled, and each group
-is solved by the operator's own method, which returns the windows that are NOT repeated. A group over ``group_rows``
+that they cover is a piece. Pieces are sorted by anchor, equal ones counted before they are shuffled, and each anchor is
+solved by the operator's own method, which returns the windows that are NOT repeated. An anchor with over ``group_rows``
 different pieces is not gathered; its windows are counted one by one by their hash.
 
 Scans never keep more than a batch; whatever a text needs to know of the corpus is joined to it by doc_id.
@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, drop, materialize
+from .common import drop, materialize
 
 #: A null doc_id in these steps: after all others.
 LAST = (1 << 63) - 1
@@ -120,6 +120,11 @@ def _batch(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
 
+def _parts(batch: pa.RecordBatch, rows: int = 2000):
+    """Pieces of a batch, so that what is made of one stays small."""
+    return (batch.slice(i, rows) for i in range(0, batch.num_rows, rows))
+
+
 def slim(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.col("text").cast("string").alias("txt"))
 
@@ -130,7 +135,7 @@ def unrepeated(docs: DataFrame, kind: Kind, tag: str, group_rows: int = 20_000)
     spark = docs.sparkSession
 
     def scan(batches):
-        for batch in batches:
+        for batch in (part for b in batches for part in _parts(b)):
             ids, keys = [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
                 k = runs(kind.read(text or b"")[0], kind.window, kind.gram)[2]
@@ -138,13 +143,25 @@ def unrepeated(docs: DataFrame, kind: Kind, tag: str, group_rows: int = 20_000)
                 ids.append(np.full(len(k), doc, np.int64))
                 keys.append(k)
             if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(ids))], names=["key", "doc"])
+                k, d = np.concatenate(keys), np.concatenate(ids)
+                _, lead, at, counts = np.unique(k, return_index=True, return_inverse=True, return_counts=True)
+                known = counts[at] > 1  # shared within the batch: one row tells the other batches, and no key is hot
+                one = ~known
+                one[lead] = True
+                k, d = np.concatenate([k[known], k[one]]), np.concatenate([d[known], d[one]])
+                yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(d), pa.array(np.arange(len(k)) < known.sum())], names=["key", "doc", "known"])
 
     def shared(batches):
-        """Rows sorted by key and doc: those whose key occurs again (by_document: in another document)."""
+        """Rows sorted by key and doc: those whose key occurs again (by_document: in another document), and the known."""
         key = doc = held = None
         many = False
         for batch in batches:
+            known = batch.column(2).to_numpy(zero_copy_only=False)
+            if known.any():
+                yield pa.RecordBatch.from_arrays([pa.array(c.to_numpy()[known]) for c in batch.columns[:2]], names=["key", "doc"])
+            if known.all():
+                continue
+            batch = batch.filter(pa.array(~known))
             keys, docs_ = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             new = np.concatenate([[True], (keys[1:] != keys[:-1])])
             step = new | np.concatenate([[True], docs_[1:] != docs_[:-1]])
@@ -171,52 +188,76 @@ def unrepeated(docs: DataFrame, kind: Kind, tag: str, group_rows: int = 20_000)
             key, doc = keys[-1], docs_[-1]
 
     texts = slim(docs)
-    anchors = texts.mapInArrow(scan, "key long, doc long").repartition("key").sortWithinPartitions("key", "doc")
+    anchors = texts.mapInArrow(scan, "key long, doc long, known boolean")
+    anchors = anchors.repartition(F.when(F.col("known"), F.xxhash64("doc", "key")).otherwise(F.col("key"))).sortWithinPartitions("known", "key", "doc")
     found = anchors.mapInArrow(shared, "key long, doc long").groupBy("doc").agg(F.collect_set("key").alias("keys"))
     found = materialize(found, tag)
     release(spark)
 
     def cut(batches):
-        for batch in batches:
-            rows = []
+        for batch in (part for b in batches for part in _parts(b)):
+            counts: dict[tuple[int, bytes], list[int]] = {}
+            size = 0
             for doc, text, keys in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2), strict=True):
                 symbols, part = kind.read(text or b"")
                 first, last, k = runs(symbols, kind.window, kind.gram)
-                for i in np.flatnonzero(np.isin(k, keys.values.to_numpy())).tolist():
-                    rows.append((int(k[i]), part(int(first[i]), int(last[i]) + kind.window - 1), doc))
-                if len(rows) > 20_000:
-                    yield _batch(rows, ["key", "piece", "doc"], [pa.int64(), pa.binary(), pa.int64()])
-                    rows = []
-            yield _batch(rows, ["key", "piece", "doc"], [pa.int64(), pa.binary(), pa.int64()])
-
-    pieces = texts.join(found, "doc").select("doc", "txt", "keys").mapInArrow(cut, "key long, piece binary, doc long")
-    pieces = pieces.groupBy("key", "piece").agg(F.min("doc").alias("doc"), F.count("*").alias("n"))
-    pieces = materialize(pieces, tag)
+                at = np.flatnonzero(np.isin(k, keys.values.to_numpy()))
+                for key, a, b in zip(k[at].tolist(), first[at].tolist(), last[at].tolist(), strict=True):
+                    piece = part(a, b + kind.window - 1)
+                    seen = counts.get((key, piece))
+                    if seen is None:
+                        counts[key, piece] = [doc, 1]
+                        size += len(piece)
+                    else:
+                        seen[0], seen[1] = min(seen[0], doc), seen[1] + 1
+                if size > 4_000_000:
+                    yield _batch([(*k, *v) for k, v in counts.items()], ["key", "piece", "doc", "n"], [pa.int64(), pa.binary(), pa.int64(), pa.int64()])
+                    counts, size = {}, 0
+            yield _batch([(*k, *v) for k, v in counts.items()], ["key", "piece", "doc", "n"], [pa.int64(), pa.binary(), pa.int64(), pa.int64()])
+
+    def solve(batches):
+        """Rows sorted by key and piece. Holds the different pieces of one key, ``group_rows`` at most."""
+        names, kinds = ["hot", "doc", "piece", "first", "end"], [pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+        key, hot, rows = None, False, []
+        group: dict[bytes, list[int]] = {}
+
+        def close():
+            if hot:
+                rows.extend((True, doc, digest(w), n, 0) for piece, (doc, n) in group.items() for w in kind.windows(piece))
+            elif group:
+                rows.extend((False, doc, digest(p), a, b) for doc, p, a, b in kind.solve([(p, d, n) for p, (d, n) in group.items()]))
+            group.clear()
+
+        for batch in batches:
+            for k, piece, doc, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if k != key:
+                    close()
+                    key, hot = k, False
+                seen = group.get(piece)
+                if seen is None:
+                    group[piece] = [doc, n]
+                    if len(group) > (100 if hot else group_rows):
+                        hot = True
+                        close()
+                else:
+                    seen[0], seen[1] = min(seen[0], doc), seen[1] + n
+            if len(rows) > 20_000:
+                yield _batch(rows, names, kinds)
+                rows.clear()
+        close()
+        yield _batch(rows, names, kinds)
+
+    pieces = texts.join(found, "doc").select("doc", "txt", "keys").mapInArrow(cut, "key long, piece binary, doc long, n long")
+    grouped = pieces.repartition("key").sortWithinPartitions("key", "piece")
+    solved = materialize(grouped.mapInArrow(solve, "hot boolean, doc long, piece long, first long, end long"), tag)
     release(spark)
-    hot = materialize(pieces.groupBy("key").count().where(F.col("count") > group_rows).select("key"), tag)
-
-    def solve(t: pa.Table) -> pa.Table:
-        rows = [(doc, digest(p), a, b) for doc, p, a, b in kind.solve(list(zip(t.column("piece").to_pylist(), t.column("doc").to_pylist(), t.column("n").to_pylist(), strict=True)))]
-        return pa.Table.from_batches([_batch(rows, ["doc", "piece", "first", "end"], [pa.int64(), pa.int64(), pa.int32(), pa.int32()])])
-
-    out = "doc long, piece long, first int, end int"
-    if hot.isEmpty():
-        left = pieces.groupBy("key").applyInArrow(solve, out)
-    else:
-        few = broadcast_if_small(hot, 100_000)
-        left = pieces.join(few, "key", "left_anti").groupBy("key").applyInArrow(solve, out)
-
-        def split(batches):
-            for batch in batches:
-                for piece, doc, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    yield _batch([(digest(w), doc, n) for w in kind.windows(piece)], ["piece", "doc", "n"], [pa.int64()] * 3)
-
-        single = pieces.join(few, "key").select("piece", "doc", "n").mapInArrow(split, "piece long, doc long, n long").groupBy("piece").agg(F.min("doc").alias("doc"), F.sum("n").alias("n"))
-        single = single if kind.by_document else single.where("n = 1")
-        left = left.unionByName(single.select("doc", "piece", F.lit(0).alias("first"), F.lit(1).alias("end")))
+    # the windows of anchors with too many contexts, counted one by one; an equal window has the same anchor
+    single = solved.where("hot").groupBy("piece").agg(F.min("doc").alias("doc"), F.sum("first").alias("n"))
+    single = (single if kind.by_document else single.where("n = 1")).select("doc", "piece", F.lit(0).alias("first"), F.lit(1).alias("end"))
+    left = solved.where("not hot").select("doc", "piece", "first", "end").unionByName(single)
     keep = left.groupBy("doc").agg(F.collect_list(F.struct("piece", "first", "end")).alias("keep"))
     known = materialize(found.join(keep, "doc", "left"), tag)
-    for df in (found, pieces, hot):
+    for df in (found, solved):
         drop(df)
     release(spark)
     return known
@@ -250,7 +291,7 @@ def apply(docs: DataFrame, kind: Kind, schema: str, judge: Callable[[int | None,
     joined = slim(docs).join(known, "doc", "left").select("doc", "txt", "keys", "keep")
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for b in batches for part in _parts(b)):
             rows = []
             for doc, text, keys, keep in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2), batch.column(3).to_pylist(), strict=True):
                 text = text or b""
