@@ -8,6 +8,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Navigation, legal and social boilerplate, applied in this order.
 BOILERPLATE = [
@@ -104,7 +105,7 @@ def strip_front_matter(c: Column) -> Column:
     return F.when(c.startswith("---"), F.regexp_replace(c, r"(?d)\A---.*\n(?:(?!\s*---\s*(?:\n|\z)).*\n)*?[ \t]*---[ \t]*(?:\n\s*|\z)", "")).otherwise(c)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfc(texts: pd.Series) -> pd.Series:
     """Unicode normalisation form C; the JVM has no built-in for it."""
     return texts.str.normalize("NFC")
@@ -163,7 +164,7 @@ def unescape_basic(c: Column) -> Column:
     return c
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def unescape(texts: pd.Series) -> pd.Series:
     """All character references of HTML."""
     import html
