@@ -5,6 +5,8 @@ White space follows Unicode where the pattern says ``(?U)``; ``(?d)`` makes only
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -95,6 +97,19 @@ def without(c: Column, patterns: list[str], flags: str) -> Column:
     return c
 
 
+def without_lines(c: Column, patterns: list[str]) -> Column:
+    """As ``without`` for patterns that start with plain words, letter case aside: a pattern is only run on texts that hold
+    its words, which a plain search finds much faster than a regular expression fails."""
+
+    def step(p: str):
+        words_ = re.match(r"[\w©←→ ]+", p)[0].lower()
+        return lambda x: F.when(F.contains(F.lower(F.upper(x)), F.lit(words_)), F.regexp_replace(x, f"(?dmiu){p}", "")).otherwise(x)
+
+    for p in patterns:
+        c = F.transform(F.array(c), step(p))[0]  # binds the text
+    return c
+
+
 def normalize(c: Column) -> Column:
     """Lower case, white space to single spaces, trimmed."""
     return strip(F.regexp_replace(F.lower(c), r"(?U)\s+", " "))
@@ -139,7 +154,7 @@ def collapse_blank_lines(c: Column) -> Column:
 
 def clean(c: Column, min_chars: int = 400, normal_form: bool = True) -> Column:
     """Full cleaning of a corpus document; null where fewer than ``min_chars`` remain."""
-    c = without(without(strip_front_matter(c), RFC_LINES, "dm"), BOILERPLATE, "dmiu")
+    c = without_lines(without(strip_front_matter(c), RFC_LINES, "dm"), BOILERPLATE)
     c = plain_typography(nfc(c) if normal_form else c)
     c = strip(collapse_blank_lines(indent_lines(strip_controls(c))))
     return F.when(F.length(c) >= min_chars, c)
