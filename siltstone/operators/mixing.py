@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .ordered import running_total, seeded, shuffled_rank
+from .ordered import rank_within, running_total, seeded, shuffled_rank
 
 
 def normalized_weights(sources: DataFrame, weight: str = "weight") -> DataFrame:
@@ -36,8 +36,8 @@ def target_tokens(counts: DataFrame, total: int, repeat: bool = False) -> DataFr
 def budget_cut(rows: DataFrame, source: str, order: str, n: Column, budget: int) -> DataFrame:
     """Rows of each source until its token budget is met; ``take`` cuts the last one."""
     totals = running_total(rows.withColumn("n", n), [source, order], F.col("n"), "__b")
-    starts = totals.groupBy(source).agg(F.min("__b").alias("__s"))
-    out = totals.join(starts, source).withColumn("before", F.col("__b") - F.col("__s")).where(F.col("before") < budget)
+    starts = totals.groupBy(source).agg(F.min("__b").alias("__s")).withColumnRenamed(source, "__source")
+    out = totals.join(starts, F.col(source).eqNullSafe(F.col("__source"))).withColumn("before", F.col("__b") - F.col("__s")).where(F.col("before") < budget)
     return out.select(source, order, "n", "before", F.least(F.col("n"), F.lit(budget) - F.col("before")).alias("take"))
 
 
@@ -90,10 +90,9 @@ def split_by_order(rows: DataFrame, key: str, share: float, seed: int) -> DataFr
 
 def shard_split(shards: DataFrame, share: float) -> DataFrame:
     """The last shards of each source are val, one at least, and one at least is train."""
-    per = W.partitionBy("name")
-    n = F.count("*").over(per)
-    vals = F.least(F.greatest(F.lit(1), F.bround(n * share, 0)), n - 1)
-    return shards.select("name", "shard", F.when(F.row_number().over(per.orderBy(F.desc("shard"))) <= vals, "val").otherwise("train").alias("split"))
+    ranked = rank_within(shards, ["name"], ["shard"])
+    vals = F.least(F.greatest(F.lit(1), F.bround(F.col("size") * share, 0)), F.col("size") - 1)
+    return ranked.select("name", "shard", F.when(F.col("size") - F.col("rank") <= vals, "val").otherwise("train").alias("split"))
 
 
 def shard_plan(sources: DataFrame, per_shard: int) -> DataFrame:
@@ -106,7 +105,7 @@ def shard_plan(sources: DataFrame, per_shard: int) -> DataFrame:
 
 def shard_plan_rows(shards: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
     """Train shards to write: whole copies and a seeded sample of the rest."""
-    ranked = shards.withColumn("rank", F.row_number().over(W.partitionBy("name").orderBy(seeded(seed, "name", "shard"), "shard")) - 1)
+    ranked = rank_within(shards.withColumn("__h", seeded(seed, "name", "shard")), ["name"], ["__h", "shard"])
     both = ranked.join(plan.select("name", "train", "train_needed"), "name")
     copies = (F.floor(F.col("train_needed") / F.col("train")) + F.when(F.col("rank") < F.col("train_needed") % F.col("train"), 1).otherwise(0)).cast("int")
     return both.withColumn("copies", copies).where("copies > 0").select("name", "shard", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))

@@ -33,3 +33,16 @@ def shuffled_rank(df: DataFrame, seed: int, key: str, name: str = "rank") -> Dat
     """Adds the 0-based position in the seeded order."""
     keyed = df.withColumn("__h", seeded(seed, key))
     return running_total(keyed, ["__h", key], F.lit(1), name).drop("__h")
+
+
+def rank_within(df: DataFrame, group: list[str], order: list[str], name: str = "rank", size: str = "size") -> DataFrame:
+    """Adds the 0-based place within the group and the group's size. A hot group is ranked over many tasks: its rows lie in
+    one stretch of the global order, from which its start is taken off."""
+    total = running_total(df, [*group, *order], F.lit(1), "__g")
+    starts = total.groupBy(*group).agg(F.min("__g").alias("__s"), F.count("*").alias(size))
+    keys = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in group]
+    on = keys[0]
+    for k in keys[1:]:
+        on = on & k
+    joined = total.alias("l").join(starts.alias("r"), on)
+    return joined.select("l.*", (F.col("__g") - F.col("__s")).alias(name), f"r.{size}").drop("__g")

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import mixing as M
-from ..operators.ordered import running_total, shuffled_rank
+from ..operators.ordered import rank_within, running_total, shuffled_rank
 from ..registry import query, table
 from .text import _sql_words
 
@@ -100,7 +99,8 @@ def epoch_batches(spark, sf_dir):
 def latest_version(spark, sf_dir):
     """The newest version (here: the longest document) of each key, ties kept."""
     d = table(spark, sf_dir, "documents").select("lang", "source", "doc_id", "n_chars")
-    return d.withColumn("r", F.rank().over(W.partitionBy("lang", "source").orderBy(F.desc("n_chars")))).where("r = 1").drop("r")
+    best = d.groupBy("lang", "source").agg(F.max("n_chars").alias("n_chars"))
+    return d.join(best, ["lang", "source", "n_chars"]).select("lang", "source", "doc_id", "n_chars")
 
 
 @query(
@@ -129,7 +129,7 @@ _SHARDS = "s AS (SELECT source AS name, row_number() OVER (PARTITION BY source O
 def _shards(spark, sf_dir):
     """Every document stands for one shard of its source."""
     d = table(spark, sf_dir, "documents").select(F.col("source").alias("name"), "doc_id")
-    return d.select("name", (F.row_number().over(W.partitionBy("name").orderBy("doc_id")) - 1).cast("long").alias("shard"))
+    return rank_within(d, ["name"], ["doc_id"], "shard").select("name", "shard")
 
 
 @query(f"WITH {_SHARDS}, n AS (SELECT *, count(*) OVER (PARTITION BY name) AS n, row_number() OVER (PARTITION BY name ORDER BY shard DESC) AS r FROM s) SELECT name, shard, CASE WHEN r <= least(greatest(1, round_even(n * 0.1, 0)), n - 1) THEN 'val' ELSE 'train' END AS split FROM n")
@@ -140,7 +140,8 @@ def shard_split(spark, sf_dir):
 @query(f"WITH {_SHARDS}, r AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY shard DESC) AS r FROM s) SELECT name, shard, r <= 3 AS held FROM r")
 def holdback(spark, sf_dir):
     """The last three shards of each source are held back for evaluation."""
-    return _shards(spark, sf_dir).select("name", "shard", (F.row_number().over(W.partitionBy("name").orderBy(F.desc("shard"))) <= 3).alias("held"))
+    ranked = rank_within(_shards(spark, sf_dir), ["name"], ["shard"])
+    return ranked.select("name", "shard", (F.col("size") - F.col("rank") <= 3).alias("held"))
 
 
 _PLAN = f"""{_SHARDS}, c AS (SELECT name, count(*) AS n FROM s GROUP BY name), p AS (SELECT name, (substr(name, 4)::INT + 1) * 2000 AS target, n - 3 AS train, 3 AS val FROM c),
@@ -180,8 +181,8 @@ def replay_mix(spark, sf_dir):
     return t.withColumn("s", s).select((F.col("d") * 1000).alias("domain_tokens"), F.col("s").alias("replay_shards"), (F.col("s") * 1000).alias("replay_tokens"), F.round(F.col("s") / (F.col("d") + F.col("s")), 6).alias("replay_ratio"))
 
 
-def _ranked(seed: int, where: str = "true") -> str:
-    return f"r AS (SELECT doc_id, row_number() OVER (ORDER BY md5('{seed}|' || doc_id), doc_id) - 1 AS rank, count(*) OVER () AS n FROM documents WHERE {where})"
+def _ranked(seed: int) -> str:
+    return f"r AS (SELECT doc_id, row_number() OVER (ORDER BY md5('{seed}|' || doc_id), doc_id) - 1 AS rank, count(*) OVER () AS n FROM documents)"
 
 
 @query(f"WITH {_ranked(3)}, c AS (SELECT doc_id, 2 + CASE WHEN rank < floor(n * 0.5) THEN 1 ELSE 0 END AS k FROM r) SELECT doc_id, unnest(range(k))::INT AS copy FROM c")
@@ -190,10 +191,10 @@ def ratio_sample(spark, sf_dir):
     return M.ratio_sample(table(spark, sf_dir, "documents").select("doc_id"), "doc_id", 2.5, 3).select("doc_id", "copy")
 
 
-@query(f"WITH {_ranked(4, 'doc_id % 2 = 0')}, c AS (SELECT doc_id, ((700 - rank - 1) // n + 1) AS k FROM r WHERE rank < 700) SELECT doc_id, unnest(range(k))::INT AS copy FROM c")
+@query(f"WITH {_ranked(4)}, c AS (SELECT doc_id, ((1500 - rank - 1) // n + 1) AS k FROM r WHERE rank < 1500) SELECT doc_id, unnest(range(k))::INT AS copy FROM c")
 def exact_sample(spark, sf_dir):
-    """Exactly 700 rows of the documents with even ids."""
-    return M.exact_sample(table(spark, sf_dir, "documents").where("doc_id % 2 = 0").select("doc_id"), "doc_id", 700, 4).select("doc_id", "copy")
+    """Exactly 1,500 rows, more than the smallest tables have."""
+    return M.exact_sample(table(spark, sf_dir, "documents").select("doc_id"), "doc_id", 1500, 4).select("doc_id", "copy")
 
 
 @query(
@@ -249,17 +250,15 @@ def interleave(spark, sf_dir):
     """Round-robin over short, long and medium documents."""
     n = T.word_count(F.col("text"))
     d = table(spark, sf_dir, "documents").select("doc_id", F.when(n <= 128, 0).when(n >= 1024, 1).otherwise(2).alias("b"))
-    ranked = running_total(d, ["b", "doc_id"], F.lit(1), "g")
-    first = ranked.groupBy("b").agg(F.min("g").alias("s"))
-    rounds = ranked.join(F.broadcast(first), "b").withColumn("round", F.col("g") - F.col("s"))  # three rows
+    rounds = rank_within(d, ["b"], ["doc_id"], "round")
     out = running_total(rounds.select("doc_id", "b", "round"), ["round", "b"], F.lit(1), "pos")
     return out.select("doc_id", F.when(F.col("b") == 0, "short").when(F.col("b") == 1, "long").otherwise("medium").alias("bucket"), "pos")
 
 
-@query("SELECT text AS t, 'documents' AS mix_source, lang FROM documents WHERE doc_id % 10 = 0 UNION ALL SELECT text, 'conversations', NULL FROM conversations")
+@query("SELECT text AS t, 'documents' AS mix_source, lang FROM documents UNION ALL SELECT text, 'conversations', NULL FROM conversations")
 def mix_union(spark, sf_dir):
     """Union of two sources by column name; a column that one lacks is null."""
-    a = table(spark, sf_dir, "documents").where("doc_id % 10 = 0").select(F.col("text").alias("t"), F.lit("documents").alias("mix_source"), "lang")
+    a = table(spark, sf_dir, "documents").select(F.col("text").alias("t"), F.lit("documents").alias("mix_source"), "lang")
     return a.unionByName(table(spark, sf_dir, "conversations").select(F.col("text").alias("t"), F.lit("conversations").alias("mix_source")), allowMissingColumns=True)
 
 

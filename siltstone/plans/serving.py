@@ -264,36 +264,36 @@ def cosine_pairs(spark, sf_dir):
 
 
 @query(
-    """WITH l AS (SELECT vec_id, i - 1 AS token, exp(embedding[i] * 10) AS x FROM (SELECT vec_id, embedding::DOUBLE[] AS embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings WHERE vec_id % 100 = 0)),
+    """WITH l AS (SELECT vec_id, i - 1 AS token, exp(embedding[i] * 10) AS x FROM (SELECT vec_id, embedding::DOUBLE[] AS embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings)),
 p AS (SELECT vec_id, token, x / sum(x) OVER (PARTITION BY vec_id) AS p FROM l), c AS (SELECT *, sum(p) OVER (PARTITION BY vec_id ORDER BY p DESC, token ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM p)
 SELECT vec_id, token::INT AS token, round(p, 6) AS p FROM c WHERE coalesce(before, 0) < 0.9"""
 )
 def nucleus_filter(spark, sf_dir):
     """The tokens of a nucleus of 0.9: components of a vector stand in for logits."""
-    x = table(spark, sf_dir, "embeddings").where("vec_id % 100 = 0").select("vec_id", F.posexplode("embedding").alias("token", "e")).withColumn("x", F.exp(F.col("e").cast("double") * 10))
+    x = table(spark, sf_dir, "embeddings").select("vec_id", F.posexplode("embedding").alias("token", "e")).withColumn("x", F.exp(F.col("e").cast("double") * 10))
     p = x.withColumn("p", F.col("x") / F.sum("x").over(W.partitionBy("vec_id")))
     before = F.sum("p").over(W.partitionBy("vec_id").orderBy(F.desc("p"), "token").rowsBetween(W.unboundedPreceding, -1))
     return p.withColumn("before", F.coalesce(before, F.lit(0.0))).where("before < 0.9").select("vec_id", "token", F.round("p", 6).alias("p"))
 
 
 @query(
-    """WITH u AS (SELECT conv_id, arg_min(text, turn) AS q FROM conversations WHERE role = 'user' GROUP BY conv_id), h AS (SELECT u.conv_id, q, d.doc_id, d.source AS file, left(d.text, 100) AS t, row_number() OVER (PARTITION BY u.conv_id ORDER BY d.doc_id) AS i FROM u JOIN documents d ON d.doc_id // 3 = u.conv_id)
+    """WITH u AS (SELECT conv_id, arg_min(text, turn) AS q FROM conversations WHERE role = 'user' GROUP BY conv_id), h AS (SELECT u.conv_id, q, d.doc_id, d.source AS file, d.text AS t, row_number() OVER (PARTITION BY u.conv_id ORDER BY d.doc_id) AS i FROM u JOIN documents d ON d.doc_id // 3 = u.conv_id)
 SELECT conv_id, md5('<context>' || string_agg('[' || i || '] (' || file || ') ' || t, chr(10) ORDER BY i) || '</context>' || chr(10) || '<user>' || any_value(q) || '</user>' || chr(10) || '<assistant>') AS prompt_md5 FROM h GROUP BY conv_id"""
 )
 def rag_prompt(spark, sf_dir):
     """A prompt for each conversation from three documents by number."""
-    hits = table(spark, sf_dir, "documents").select(F.floor(F.col("doc_id") / 3).alias("conv_id"), F.struct("doc_id", F.col("source").alias("file"), F.substring("text", 1, 100).alias("text")).alias("h"))
+    hits = table(spark, sf_dir, "documents").select(F.floor(F.col("doc_id") / 3).alias("conv_id"), F.struct("doc_id", F.col("source").alias("file"), F.col("text")).alias("h"))
     hits = hits.groupBy("conv_id").agg(F.array_sort(F.collect_list("h")).alias("hits"))
     return E.first_user(table(spark, sf_dir, "conversations")).join(hits, "conv_id").select("conv_id", F.md5(R.rag_prompt(F.col("user_msg"), F.col("hits"))).alias("prompt_md5"))
 
 
 @query(
-    """WITH t AS (SELECT conv_id, turn, left(text, 10) || '<toolcall>{"name": "t' || turn || '", "k": ' || conv_id || '}</toolcall> x <toolcall>{bad</toolcall>' || CASE WHEN turn % 2 = 0 THEN '<toolcall>{"k": 1}</toolcall>' ELSE '<toolcall>{"name": "z"}</toolcall>' END AS t FROM conversations)
+    """WITH t AS (SELECT conv_id, turn, text || '<toolcall>{"name": "t' || turn || '", "k": ' || conv_id || '}</toolcall> x <toolcall>{bad</toolcall>' || CASE WHEN turn % 2 = 0 THEN '<toolcall>{"k": 1}</toolcall>' ELSE '<toolcall>{"name": "z"}</toolcall>' END AS t FROM conversations)
 SELECT conv_id, turn, unnest(CASE WHEN turn % 2 = 0 THEN ['t' || turn] ELSE ['t' || turn, 'z'] END) AS name FROM t"""
 )
 def tool_calls(spark, sf_dir):
     """Names of the well-formed calls in texts that also hold a broken one and one without a name."""
-    call = F.concat(F.substring("text", 1, 10), F.lit('<toolcall>{"name": "t'), F.col("turn"), F.lit('", "k": '), F.col("conv_id"), F.lit("}</toolcall> x <toolcall>{bad</toolcall>"), F.when(F.col("turn") % 2 == 0, '<toolcall>{"k": 1}</toolcall>').otherwise('<toolcall>{"name": "z"}</toolcall>'))
+    call = F.concat(F.col("text"), F.lit('<toolcall>{"name": "t'), F.col("turn"), F.lit('", "k": '), F.col("conv_id"), F.lit("}</toolcall> x <toolcall>{bad</toolcall>"), F.when(F.col("turn") % 2 == 0, '<toolcall>{"k": 1}</toolcall>').otherwise('<toolcall>{"name": "z"}</toolcall>'))
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.explode(R.tool_calls(call)).alias("c")).select("conv_id", "turn", "c.name")
 
 
@@ -421,14 +421,20 @@ def lineage_flatten(spark, sf_dir):
 
 
 @query(
-    """SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON contains(lower(d.text), lower(b.text))"""
+    "SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON contains(lower(d.text), lower(b.text)) WHERE b.text <> ''"
 )
 def eval_leak(spark, sf_dir):
-    """Documents that quote a benchmark item word for word, by its first eight words: an equi-join, then the whole text."""
-    lead = lambda w: F.xxhash64(F.array_join(w, " "))
-    items = table(spark, sf_dir, "benchmark").withColumn("w", F.split(F.lower("text"), " ")).withColumn("n", F.least(F.size("w"), F.lit(3))).where("text <> ''")
-    items = items.select("item_id", F.lower("text").alias("b"), "n", lead(F.slice(F.slice("w", 2, 1000), 1, 3)).alias("k"))
+    """Documents that quote a benchmark item word for word: an equi-join on three words inside it, then the whole text.
+
+    An item's first and last word may be parts of longer ones in a document, so the key is taken from between them; items
+    with no three words between them are few by nature and compared with all documents.
+    """
+    key = lambda w: F.xxhash64(F.array_join(w, " "))
+    w = F.split(F.lower("text"), "[ \n]")
+    items = table(spark, sf_dir, "benchmark").where("text <> ''").select("item_id", F.lower("text").alias("b"), F.slice(w, 2, 3).alias("k"), F.size(w).alias("n"))
     d = table(spark, sf_dir, "documents").select("doc_id", F.lower("text").alias("t"))
-    grams = F.transform(F.array(F.split("t", "[ \n]")), lambda w: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - 2, F.lit(1))), lambda i: lead(F.slice(w, i, 3)))))[0]
-    hits = d.select("doc_id", F.explode(grams).alias("k")).join(items.select("item_id", "k"), "k").select("doc_id", "item_id").distinct()
-    return hits.join(d, "doc_id").join(items.select("item_id", "b"), "item_id").where(F.contains("t", "b")).select("doc_id", "item_id")
+    grams = F.transform(F.array(F.split("t", "[ \n]")), lambda x: F.array_distinct(F.transform(F.slice(x, 1, F.greatest(F.size(x) - 2, F.lit(0))), lambda y, i: F.xxhash64(F.concat_ws(" ", y, F.get(x, i + 1), F.get(x, i + 2))))))[0]
+    hits = d.select("doc_id", F.explode(grams).alias("k")).join(items.where("n >= 5").select("item_id", key(F.col("k")).alias("k")), "k").select("doc_id", "item_id").distinct()
+    found = hits.join(d, "doc_id").join(items.select("item_id", "b"), "item_id").where(F.contains("t", "b")).select("doc_id", "item_id")
+    short = items.where("n < 5").select("item_id", "b")
+    return found.unionByName(d.join(short, F.contains("t", "b")).select("doc_id", "item_id"))
