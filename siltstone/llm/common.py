@@ -3,23 +3,26 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
 import os
 import shutil
 import tempfile
 import uuid
 from urllib.parse import unquote, urlparse
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..registry import table as table
+
 #: Words of the contracts: runs of anything but the six ASCII white-space characters.
 SPACE_CLASS = r"[\x20\x09-\x0D]+"
 
 _LOCAL_SCRATCH: dict[str, str] = {}
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+#: Tables made by materialize() and not yet deleted, with the application that made them.
+_TABLES: dict[str, str] = {}
 
 
 def words_of(text):
@@ -32,6 +35,22 @@ def let(value, body):
     return F.transform(F.array(value), body)[0]
 
 
+def small_parts(batches, rows: int = 2000):
+    """Arrow batches in pieces of a few rows, so that what a task makes of one stays small. At the end of the task its
+    worker, which Spark keeps for later ones, gives the memory back."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory of this process to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # the C library may be another
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder that driver and executors share: the session's checkpoint directory.
 
@@ -73,16 +92,34 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._siltstone_path = path
+    _TABLES[path] = spark.sparkContext.applicationId
     return out
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
 def drop(df: DataFrame) -> None:
     """Delete a table made by materialize() that no later step reads."""
     path = getattr(df, "_siltstone_path", None)
     if path:
-        spark = df.sparkSession
-        jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-        jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+        _TABLES.pop(path, None)
+        _delete(df.sparkSession, path)
+
+
+def sweep(docs: DataFrame) -> None:
+    """Delete all tables made by materialize() so far but those that ``docs`` reads: for the start of a pipeline stage,
+    when the results of the stages before it have been written."""
+    spark = docs.sparkSession
+    app = spark.sparkContext.applicationId
+    used = docs.inputFiles()
+    for path in [p for p, a in _TABLES.items() if a == app]:
+        name = path.rstrip("/").rsplit("/", 1)[-1]
+        if not any(name in f for f in used):
+            _TABLES.pop(path)
+            _delete(spark, path)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, materialize
+from .common import broadcast_if_small, materialize, small_parts
 from .urls import split_url
 
 # Tags of HTML by what they do to text.
@@ -222,7 +222,7 @@ def style_tree(pages: DataFrame, threshold: float = 0.5, min_pages: int = 5, dam
 
     def scan(batches):
         names = ["host", "node", "parent", "inner", "feature", "pages"]
-        for batch in batches:
+        for batch in small_parts(batches):
             counts: dict[tuple, int] = {}
             for url, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 host, seen = split_url(url)[0], set()
@@ -282,7 +282,7 @@ def extract_main_text(pages: DataFrame, threshold: float = 0.5, min_pages: int =
     joined = slim.withColumn("host", host).join(broadcast_if_small(trees, 20_000), "host", "left").select("page_id", "url", "html", "noise")
 
     def run(batches):
-        for batch in batches:
+        for batch in small_parts(batches):
             texts = [main_text(h or "", frozenset(n or ())) for h, n in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 

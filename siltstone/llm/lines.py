@@ -19,13 +19,13 @@ are returned, whatever their names.
 
 from __future__ import annotations
 
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import broadcast_if_small, drop, materialize
+from .common import broadcast_if_small, drop, materialize, small_parts
 
 _SIGN = 1 << 63
 _BLANK = " \t\r\x0b\x0c"
@@ -67,17 +67,16 @@ def dedup_lines(docs: DataFrame, min_chars: int = 16) -> DataFrame:
     boxed = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("row"), F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("txt"), F.xxhash64("text").alias("tk"))
 
     def scan(batches):
-        for batch in batches:
+        kinds = [pa.int64()] * 4 + [pa.int32(), pa.list_(pa.int64())]
+        for batch in small_parts(batches):
             rows = []
             for doc, tk, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 for n, line in enumerate((text or "").split("\n")):
                     if line.strip(_BLANK):
                         near = [k for k, _, _ in part_keys(line)] if len(line) >= min_chars - 1 else []
                         rows.append((*line_hash(line.encode()), doc, tk, n, near))
-            for i in range(0, len(rows), 20_000):
-                c = list(zip(*rows[i : i + 20_000], strict=True))
-                kinds = [pa.int64()] * 4 + [pa.int32(), pa.list_(pa.int64())]
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(c, kinds, strict=True)], names=["h1", "h2", "doc", "tk", "n", "near"])
+            c = list(zip(*rows, strict=True)) if rows else [()] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(c, kinds, strict=True)], names=["h1", "h2", "doc", "tk", "n", "near"])
 
     lines = boxed.select("doc", "tk", "txt").mapInArrow(scan, "h1 long, h2 long, doc long, tk long, n int, near array<long>")
     place = F.struct("doc", "tk", "n")
@@ -115,7 +114,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 16) -> DataFrame:
     held = boxed.select("doc", "tk", "txt").alias("l").join(side, F.col("l.doc").eqNullSafe(F.col("r.doc")) & (F.col("l.tk") == F.col("r.tk"))).select("l.doc", "l.tk", "txt", "todo")
 
     def pick(batches):
-        for batch in batches:
+        for batch in small_parts(batches):
             rows = []
             for doc, tk, text, todo in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 lines = text.split("\n")
@@ -178,22 +177,27 @@ def dedup_lines(docs: DataFrame, min_chars: int = 16) -> DataFrame:
     kept = first.select("h1", "h2", "at").join(gone, ["h1", "h2"], "left_anti").groupBy(F.col("at.doc").alias("doc"), F.col("at.tk").alias("tk")).agg(F.collect_list("at.n").alias("kept"))
     joined = boxed.alias("l").join(kept.alias("r"), F.col("l.doc").eqNullSafe(F.col("r.doc")) & (F.col("l.tk") == F.col("r.tk")), "left")
 
-    @F.pandas_udf("text string, lines int, removed int")
-    def rebuilt(texts: pd.Series, kept: pd.Series) -> pd.DataFrame:
-        rows = []
-        for text, mine in zip(texts, kept, strict=True):
-            if text is None:
-                rows.append((None, 0, 0))
-                continue
-            mine = set() if mine is None else set(mine.tolist())
-            parts = text.split("\n")
-            solid = [bool(x.strip(_BLANK)) for x in parts]
-            rows.append(("\n".join([x for i, x in enumerate(parts) if i in mine or not solid[i]]), sum(solid), sum(solid) - len(mine)))
-        return pd.DataFrame(rows, columns=["text", "lines", "removed"])
-
-    out = joined.select("row", rebuilt("txt", "kept").alias("o"))
-    plain = [F.col(f"row.`{c}`").alias(c) if c != "text" else F.col("o.text").alias("text") for c in cols if c not in ("dedup_lines", "dedup_removed")]
-    return out.select(*plain, F.col("o.lines").alias("dedup_lines"), F.col("o.removed").alias("dedup_removed"))
+    keep = [c for c in cols if c not in ("dedup_lines", "dedup_removed")]
+    plain = joined.select(*[F.col(f"row.`{c}`").alias(f"c{i}") for i, c in enumerate(keep) if c != "text"], "txt", "kept")
+    others = [f for f in plain.schema.fields if f.name not in ("txt", "kept")]
+    fields = T.StructType([*others, T.StructField("text", T.StringType()), T.StructField("lines", T.IntegerType()), T.StructField("removed", T.IntegerType())])
+
+    def rebuilt(batches):
+        for batch in small_parts(batches):
+            new = []
+            for text, mine in zip(batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist(), strict=True):
+                if text is None:
+                    new.append((None, 0, 0))
+                    continue
+                mine, all_ = set(mine or ()), text.split("\n")
+                solid = [bool(x.strip(_BLANK)) for x in all_]
+                new.append(("\n".join([x for i, x in enumerate(all_) if i in mine or not solid[i]]), sum(solid), sum(solid) - len(mine)))
+            made = [pa.array(c, k) for c, k in zip(zip(*new, strict=True), (pa.string(), pa.int32(), pa.int32()), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *made], names=fields.names)
+
+    out = plain.mapInArrow(rebuilt, fields)
+    named = [F.col("text" if c == "text" else f"c{i}").alias(c) for i, c in enumerate(keep)]
+    return out.select(*named, F.col("lines").alias("dedup_lines"), F.col("removed").alias("dedup_removed"))
 
 
 ORACLE = r"""

@@ -18,6 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_parts
 from .tokens import default_tokenizer, encoder
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -112,18 +113,18 @@ def top_up(windows: list[list[tuple[int, int, int]]], size: int) -> list[list[tu
     return out
 
 
-def pack_documents(docs: DataFrame, window: int = 4096, end_id: int = 2, tokenizer: str | None = None, batch_tokens: int = 4_000_000, with_ids: bool = False) -> DataFrame:
+def pack_documents(docs: DataFrame, window: int = 4096, end_id: int = 2, tokenizer: str | None = None, batch_tokens: int = 4_000_000, with_ids: bool = False, cache_words: int = 300_000) -> DataFrame:
     """One row per piece of a document: where it lies in the document and in which sequence, and its CRC-32.
 
     with_ids adds ``ids array<int>``, the piece's tokens. batch_tokens bounds a task's memory: so many tokens of
-    remainders are packed together.
+    remainders are packed together. cache_words bounds the words whose encodings a Python worker keeps.
     """
     path = tokenizer or default_tokenizer()
 
     def run(batches):
         task = TaskContext.get()
         base, made = (task.partitionId() if task else 0) << 40, 0
-        encode, end = encoder(path).encode, end_id.to_bytes(4, "little")
+        encode, end = encoder(path, cache_words).encode, end_id.to_bytes(4, "little")
         rows: list[tuple] = []
         pending: list[tuple] = []
         waiting = 0
@@ -151,7 +152,7 @@ def pack_documents(docs: DataFrame, window: int = 4096, end_id: int = 2, tokeniz
             rows.clear()
             return batch
 
-        for batch in batches:
+        for batch in small_parts(batches):
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
                 ids = encode(text) + end
                 total = len(ids) // 4

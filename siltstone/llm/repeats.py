@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import drop, materialize
+from .common import drop, materialize, small_parts
 
 #: A null doc_id in these steps: after all others.
 LAST = (1 << 63) - 1
@@ -120,11 +120,6 @@ def _batch(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
 
-def _parts(batch: pa.RecordBatch, rows: int = 2000):
-    """Pieces of a batch, so that what is made of one stays small."""
-    return (batch.slice(i, rows) for i in range(0, batch.num_rows, rows))
-
-
 def slim(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.col("text").cast("string").alias("txt"))
 
@@ -135,7 +130,7 @@ def unrepeated(docs: DataFrame, kind: Kind, tag: str, group_rows: int = 20_000)
     spark = docs.sparkSession
 
     def scan(batches):
-        for batch in (part for b in batches for part in _parts(b)):
+        for batch in small_parts(batches):
             ids, keys = [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
                 k = runs(kind.read(text or b"")[0], kind.window, kind.gram)[2]
@@ -195,7 +190,7 @@ def unrepeated(docs: DataFrame, kind: Kind, tag: str, group_rows: int = 20_000)
     release(spark)
 
     def cut(batches):
-        for batch in (part for b in batches for part in _parts(b)):
+        for batch in small_parts(batches):
             counts: dict[tuple[int, bytes], list[int]] = {}
             size = 0
             for doc, text, keys in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2), strict=True):
@@ -291,7 +286,7 @@ def apply(docs: DataFrame, kind: Kind, schema: str, judge: Callable[[int | None,
     joined = slim(docs).join(known, "doc", "left").select("doc", "txt", "keys", "keep")
 
     def run(batches):
-        for batch in (part for b in batches for part in _parts(b)):
+        for batch in small_parts(batches):
             rows = []
             for doc, text, keys, keep in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2), batch.column(3).to_pylist(), strict=True):
                 text = text or b""

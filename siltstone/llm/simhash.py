@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, components, drop, materialize
+from .common import broadcast_if_small, components, drop, materialize, small_parts
 
 _BITS = np.array([[(v >> b) & 1 for b in range(8)] for v in range(256)], np.int64)
 
@@ -51,7 +51,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame
     """doc_id, ``text_key`` (xxhash64 of the text) and ``fp``, the fingerprint's bits as a signed long."""
 
     def run(batches):
-        for batch in batches:
+        for batch in small_parts(batches):
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             prints = np.array([fingerprint(t, shingle, seed) for t in texts], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(prints.view(np.int64))], names=["doc_id", "text_key", "fp"])

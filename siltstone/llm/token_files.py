@@ -23,6 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import small_parts
 from .tokens import default_tokenizer, encoder
 
 NULL_ID = -(2**63)
@@ -44,7 +45,7 @@ def write_token_files(docs: DataFrame, folder: str, end_id: int = 1, tokenizer:
         stem = os.path.join(folder, f"shard-{shard:06d}")
         offsets, ids = [0], []
         with open(f"{stem}.bin.{attempt}", "wb") as out:
-            for batch in batches:
+            for batch in small_parts(batches):
                 ids += [NULL_ID if x is None else x for x in batch.column(0).to_pylist()]
                 for text in batch.column(1).cast(pa.binary()).to_pylist():
                     data = encode(text) + end

@@ -87,8 +87,9 @@ class ChunkCache(dict):
 _CACHES: dict[str, ChunkCache] = {}
 
 
-def encoder(path: str) -> ChunkCache:
-    """One cache per tokenizer and Python worker."""
+def encoder(path: str, limit: int = 300_000) -> ChunkCache:
+    """One cache per tokenizer and Python worker, of ``limit`` words and as many older ones."""
     if path not in _CACHES:
-        _CACHES[path] = ChunkCache(path)
+        _CACHES[path] = ChunkCache(path, limit)
+    _CACHES[path].limit = limit
     return _CACHES[path]
