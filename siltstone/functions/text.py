@@ -374,3 +374,53 @@ def alpha_ratio(c: Column) -> Column:
 
 def printable_ratio(c: Column) -> Column:
     return F.length(F.regexp_replace(c, r"[\p{C}\p{Zl}\p{Zp}]|[\p{Zs}&&[^ ]]", "")) / F.greatest(F.length(c), F.lit(1))
+
+
+def clean_thread(c: Column, messages: Column | None = None, least: int = 30, most: int = 8000) -> Column:
+    """A threaded conversation: URLs masked; at least three messages where their number is known."""
+    c = strip(F.regexp_replace(c, r"https?://\S+|www\.\S+", "[URL]"))
+    enough = F.lit(True) if messages is None else F.coalesce(messages, F.lit(3)) >= 3
+    return F.when(enough & word_count(c).between(least, most), c)
+
+
+def clean_long_qa(c: Column) -> Column:
+    return clean_qa(c, 50, 15000)
+
+
+def subtitle_line(c: Column) -> Column:
+    """A subtitle line without tags and dashes; null for numbers, time codes and single words."""
+    meta = c.rlike(r"^\s*(?:\d+|\d\d:\d\d:\d\d[,.]\d+\s*-->.*)\s*$")
+    c = F.regexp_replace(F.regexp_replace(c, "<[^>]+>", ""), r"\{\\[^}]+\}", "")
+    c = strip(F.regexp_replace(strip(c), r"\A[- ]+|[- ]+\z", ""))
+    return F.when(~meta & (word_count(c) >= 2), c)
+
+
+def quoted(c: Column) -> Column:
+    """The first text in double quotes, else in single quotes."""
+    double = F.regexp_extract(c, '"([^"]+)"', 1)
+    single = F.regexp_extract(c, "'([^']+)'", 1)
+    return F.when(double != "", double).when(single != "", single)
+
+
+def forbidden_payload(c: Column, payloads: list[str]) -> Column:
+    """Whether a payload is listed, alone or as the first part of ``listed_suffix``."""
+    n = normalize(F.coalesce(c, F.lit("")))
+    hit = n.isin(*payloads)
+    for p in payloads:
+        hit = hit | n.startswith(f"{p}_")
+    return hit
+
+
+def mentions(c: Column, payloads: list[str]) -> Column:
+    """Whether a text holds a listed payload as whole words, or as the first part of a longer name."""
+    n = normalize(F.coalesce(c, F.lit("")))
+    hit = F.lit(False)
+    for p in payloads:
+        hit = hit | n.rlike(rf"\b{re.escape(p)}\b") | F.contains(n, F.lit(f"{p}_"))
+    return hit
+
+
+def span_answer(tokens: Column, start: Column, end: Column) -> Column:
+    """Words of a token span (array of token and is_html), HTML tokens left out."""
+    part = F.slice(tokens, start + 1, F.greatest(end - start, F.lit(0)))
+    return F.array_join(F.transform(F.filter(part, lambda t: ~t["is_html"]), lambda t: t["token"]), " ")

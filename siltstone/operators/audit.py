@@ -58,3 +58,10 @@ def flatten_lineage(edges: DataFrame, root: str, most: int = 50) -> DataFrame:
         if level.isEmpty():
             return leaves.groupBy("node").agg(F.sum("share").alias("share"))
     raise ValueError("lineage is deeper than allowed or has a cycle")
+
+
+def with_context(fields: dict[str, Column], context: dict[str, Column]) -> dict[str, Column]:
+    """Explicit user, ip and session over the request's own; an empty explicit value falls back too."""
+    blank = lambda c: F.when(c != "", c)
+    known = {k: F.coalesce(*[blank(d[k]) for d in (fields, context) if k in d]) for k in ("user", "ip", "session") if k in fields or k in context}
+    return {**known, **{k: v for k, v in fields.items() if k not in known}}

@@ -88,3 +88,42 @@ def xy_windows(ids: Column, block: int, pad: int) -> Column:
     kept = F.when(F.size(ids) > block + 1, F.slice(ids, -(block + 1), block + 1)).otherwise(ids)
     full = F.concat(kept, F.array_repeat(F.lit(pad), F.greatest(F.lit(block + 1) - F.size(ids), F.lit(0))))
     return F.transform(F.array(full), lambda s: F.struct(F.slice(s, 1, block).alias("x"), F.slice(s, 2, block).alias("y")))[0]
+
+
+def mega_episodes(documents: DataFrame, size: int, least: int = 65, fill: float = 0.75) -> DataFrame:
+    """Short documents in order (id, tokens) joined until the next no longer fits; kept if filled to ``fill``. Documents
+    under ``least`` tokens are dropped, those of a whole block or more are cut to one and stand alone."""
+
+    def run(batches):
+        part, block, held, used = _part(), 0, [], 0
+
+        def close():
+            nonlocal block, used
+            rows = []
+            if used >= int(size * fill):
+                at = 0
+                for i, (key, n) in enumerate(held):
+                    rows.append((part, block, key, i + 1, at, n))
+                    at += n
+                block += 1
+            held.clear()
+            used = 0
+            return rows
+
+        for batch in batches:
+            rows = []
+            for key, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if n < least:
+                    continue
+                if n >= size or used + n > size:
+                    rows += close()
+                if n >= size:
+                    rows.append((part, block, key, 1, 0, size))
+                    block += 1
+                else:
+                    held.append((key, n))
+                    used += n
+            yield _batch(rows)
+        yield _batch(close())
+
+    return documents.select("id", F.col("tokens").cast("long")).repartitionByRange("id").sortWithinPartitions("id").mapInArrow(run, SCHEMA)

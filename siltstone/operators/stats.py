@@ -86,3 +86,18 @@ def pass_rates(results: DataFrame, bucket: str, ok: str) -> DataFrame:
     """passed, failed, total and pass rate per bucket and over all."""
     out = results.rollup(bucket).agg(F.grouping(bucket).alias("g"), F.count_if(ok).alias("passed"), F.count("*").alias("total"))
     return out.select(F.when(F.col("g") == 1, "OVERALL").otherwise(F.col(bucket)).alias("bucket"), "passed", (F.col("total") - F.col("passed")).alias("failed"), "total", F.round(F.col("passed") * 100.0 / F.col("total"), 2).alias("pass_rate"))
+
+
+def first_k(df: DataFrame, group: str, order: str, k: int) -> DataFrame:
+    """The first k rows of each group. Only ranks up to k leave a task, so a hot group is cut before it is shuffled."""
+    from pyspark.sql import Window as W
+
+    rank = F.row_number().over(W.partitionBy(group).orderBy(order))
+    return df.withColumn("__r", rank).where(F.col("__r") <= k).drop("__r")
+
+
+def overlap_gate(items: DataFrame, response: str, keywords: str, tags: str) -> DataFrame:
+    """Passed where any keyword and all tags of an item occur in its response; both columns are arrays."""
+    low = F.lower(response)
+    any_key = F.exists(keywords, lambda k: F.contains(low, F.lower(k)))
+    return items.withColumn("passed", any_key & F.forall(tags, lambda t: F.contains(low, F.lower(t))))

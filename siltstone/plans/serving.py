@@ -70,6 +70,13 @@ def best_fit_pack(spark, sf_dir):
     return P.best_fit(_episodes(spark, sf_dir), 1024)
 
 
+@query()
+def mega_episodes(spark, sf_dir):
+    """Documents joined in order to blocks of 4,096 words."""
+    n = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), T.word_count(F.col("text")).alias("tokens"))
+    return P.mega_episodes(n, 4096)
+
+
 @query()
 def packing_stats(spark, sf_dir):
     return P.packing_stats(best_fit_pack(spark, sf_dir), 1024)

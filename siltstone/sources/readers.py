@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import convert
+from ..functions import convert, text
 
 _NAME = r"([^/]+)$"
 
@@ -152,3 +152,21 @@ def law_versions(paths: DataFrame) -> DataFrame:
 def not_done(todo: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Rows whose key has not been written yet."""
     return todo.join(done.select(key).distinct(), key, "left_anti")
+
+
+def dialogues(spark: SparkSession, path: str, kind: str, field: str = "content") -> DataFrame:
+    """Texts of dialogue records (JSON lines, also gzipped), cleaned by kind: comment, qa, thread or long_qa."""
+    clean = {"comment": text.clean_comment, "qa": text.clean_qa, "thread": text.clean_thread, "long_qa": text.clean_long_qa}[kind]
+    return jsonl(spark, path, f"{field} string").select(clean(F.col(field)).alias("text")).where("text is not null")
+
+
+def subtitles(spark: SparkSession, path: str) -> DataFrame:
+    """Cleaned subtitle lines with their file, in no order; windows over them need a line number of the source."""
+    out = spark.read.text(path).select(F.col("_metadata.file_path").alias("source"), text.subtitle_line(F.col("value")).alias("line"))
+    return out.where("line is not null")
+
+
+def code_files(spark: SparkSession, path: str, extensions: list[str]) -> DataFrame:
+    """Source files of 100 to 100,000 bytes."""
+    files = directory(spark, path, extensions, 100, 100_000)
+    return files.select("path", "filename", F.decode("content", "utf-8").alias("text"))

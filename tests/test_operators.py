@@ -212,3 +212,50 @@ def test_streams(spark, tmp_path):
     (tmp_path / "log").mkdir()
     (tmp_path / "log/a.json").write_text('{"event": "eval", "iter": 1, "val_loss": 2.0}\n{"event": "gold", "iter": 1}\n')
     assert logs.run_once(logs.training_log(spark, str(tmp_path / "log")), "train", str(tmp_path / "c3")).count() == 1
+
+
+def test_mega_episodes(spark):
+    df = spark.createDataFrame(list(enumerate([70, 10, 20, 90, 250, 80, 5])), "id long, tokens long").coalesce(1)
+    got = {}
+    for r in packing.mega_episodes(df, 100, 15, 0.75).collect():
+        got.setdefault(r.block, []).append((r.id, r.offset, r.tokens))
+    assert sorted(map(sorted, got.values())) == [[(0, 0, 70), (2, 70, 20)], [(3, 0, 90)], [(4, 0, 100)], [(5, 0, 80)]]
+
+
+def test_small_text_functions(spark):
+    assert one(spark, T.subtitle_line, "- <i>Hello</i> there -") == "Hello there" and one(spark, T.subtitle_line, "00:01:02,000 --> 00:01:03,000") is None
+    assert one(spark, T.quoted, "a 'b' c") == "b" and one(spark, T.quoted, "none") is None
+    assert one(spark, lambda c: T.forbidden_payload(c, ["hello"]), "Hello_7") and not one(spark, lambda c: T.forbidden_payload(c, ["hello"]), "hellos")
+    assert one(spark, lambda c: T.mentions(c, ["ok"]), "is it OK?") and not one(spark, lambda c: T.mentions(c, ["ok"]), "book")
+    span = spark.createDataFrame([([("<p>", True), ("a", False), ("b", False), ("c", False)],)], "t array<struct<token:string,is_html:boolean>>")
+    assert span.select(T.span_answer(F.col("t"), F.lit(0), F.lit(3)).alias("x")).first().x == "a b"
+    assert one(spark, lambda c: T.clean_thread(c, F.lit(2)), "word " * 40) is None
+
+
+def test_workspace(spark):
+    from siltstone.operators import workspace
+
+    files = spark.createDataFrame([("/w/a/Note.md", "First part.\n\nSecond part."), ("/w/b.txt", "Other words entirely")], "path string, text string")
+    docs = workspace.documents(files, "/w")
+    assert [r.title for r in workspace.list_documents(docs).collect()] == ["Note", "b"]
+    note = workspace.get_document(docs, title="NOTE").first()
+    assert len(note.doc_id) == 12 and workspace.summarize(docs, note.doc_id, 15).first().summary == "First part."
+    index = retrieval.embed(docs.withColumnRenamed("doc_id", "chunk_id"), "chunk_id", "text", 64).join(docs.select(F.col("doc_id").alias("chunk_id"), "text"), "chunk_id")
+    assert workspace.call("search", index, "other words", k=1).first().text == "Other words entirely"
+    assert workspace.search(index, "x").count() == 0
+    with pytest.raises(ValueError, match="unknown tool"):
+        workspace.call("nope")
+
+
+def test_groups_and_gates(spark):
+    from siltstone.operators import stats
+
+    df = spark.createDataFrame([("a", 3), ("a", 1), ("a", 2), ("b", 5)], "g string, o int")
+    assert sorted(map(tuple, stats.first_k(df, "g", "o", 2).collect())) == [("a", 1), ("a", 2), ("b", 5)]
+    items = spark.createDataFrame([("It is Blue <t>", ["red", "blue"], ["<t>"]), ("blue", ["blue"], ["<t>"])], "r string, k array<string>, t array<string>")
+    assert [r.passed for r in stats.overlap_gate(items, "r", "k", "t").collect()] == [True, False]
+    f = audit.with_context({"user": F.lit(""), "x": F.lit("1")}, {"user": F.lit("ctx"), "ip": F.lit("9")})
+    row = spark.range(1).select(*[v.alias(k) for k, v in f.items()]).first()
+    assert row.asDict() == {"user": "ctx", "ip": "9", "x": "1"}
+    ranked = ordered.rank_within(df, ["g"], ["o"])
+    assert {(r.g, r.o): (r["rank"], r.size) for r in ranked.collect()} == {("a", 1): (0, 3), ("a", 2): (1, 3), ("a", 3): (2, 3), ("b", 5): (0, 1)}
