@@ -28,7 +28,7 @@ def exact_dedup(docs: DataFrame, text: str = "text", order: str = "doc_id") -> D
 
 def line_dedup(docs: DataFrame, text: str = "text", order: str = "doc_id") -> DataFrame:
     """First place (document, line number) of each good, normalised line."""
-    lines = docs.select(order, F.posexplode(F.split(F.col(text), "\n")).alias("line_no", "raw"))
+    lines = docs.select(order, F.posexplode(F.split(F.col(text), "\n")).alias("n", "raw")).withColumn("line_no", F.col("n").cast("long"))
     lines = lines.select(order, "line_no", T.normalize(F.col("raw")).alias("line")).where(T.good_line(F.col("line")))
     out = lines.groupBy(F.md5("line").alias("line_md5")).agg(F.min(F.struct(order, "line_no")).alias("r"), F.count("*").alias("copies"))
     return out.select("line_md5", "r.*", "copies")

@@ -148,7 +148,7 @@ SELECT a.doc_id, a.line_no, md5(a.line) AS a, md5(b.line) AS b FROM l a JOIN l b
 )
 def parallel_zip(spark, sf_dir):
     """Line pairs of an even document and its successor, by line number; the shorter one ends the pairing."""
-    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).where(F.length(F.trim("line")) >= 3)
+    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("n", "line")).withColumn("line_no", F.col("n").cast("long")).where(F.length(F.trim("line")) >= 3)
     a, b = lines.where("doc_id % 2 = 0").alias("a"), lines.where("doc_id % 2 = 1").select((F.col("doc_id") - 1).alias("doc_id"), "line_no", F.col("line").alias("other"))
     return a.join(b, ["doc_id", "line_no"]).select("doc_id", "line_no", F.md5("line").alias("a"), F.md5("other").alias("b"))
 
