@@ -47,10 +47,9 @@ def write_token_files(docs: DataFrame, folder: str, end_id: int = 1, tokenizer:
         with open(f"{stem}.bin.{attempt}", "wb") as out:
             for batch in small_parts(batches):
                 ids += [NULL_ID if x is None else x for x in batch.column(0).to_pylist()]
-                for text in batch.column(1).cast(pa.binary()).to_pylist():
-                    data = encode(text) + end
-                    out.write(data if dtype == "<u4" else np.frombuffer(data, "<u4").astype(dtype).tobytes())
-                    offsets.append(offsets[-1] + len(data) // 4)
+                data = [encode(text) + end for text in batch.column(1).cast(pa.binary()).to_pylist()]
+                offsets += accumulate((len(x) // 4 for x in data[1:]), initial=offsets[-1] + len(data[0]) // 4)
+                out.write(np.frombuffer(b"".join(data), "<u4").astype(dtype))
         np.array(offsets, "<u8").tofile(f"{stem}.idx.{attempt}")
         np.array(ids, "<i8").tofile(f"{stem}.doc.{attempt}")
         for kind in ("bin", "idx", "doc"):
@@ -78,12 +77,13 @@ def read_token_files(spark: SparkSession, folder: str, with_ids: bool = False) -
                 stem = os.path.join(folder, f"shard-{shard:06d}")
                 offsets, docs = np.memmap(f"{stem}.idx", "<u8", "r").astype(np.int64), np.memmap(f"{stem}.doc", "<i8", "r")
                 ids = np.asarray(np.memmap(f"{stem}.bin", dtype, "r"))
-                step = 500 if with_ids else 20_000
+                step = 500 if with_ids else 2_000
                 for i in range(0, len(docs), step):
                     j = min(i + step, len(docs))
-                    edges = offsets[i : j + 1].tolist()
-                    parts = [ids[a:b] for a, b in zip(edges, edges[1:], strict=False)]
-                    columns = [pa.array([None if x == NULL_ID else x for x in docs[i:j].tolist()], pa.int64()), pa.array(offsets[i:j] + base), pa.array(np.diff(offsets[i : j + 1])), pa.array([crc32(p.astype("<u4").tobytes()) for p in parts], pa.int64())]
+                    block = memoryview(ids[offsets[i] : offsets[j]].astype("<u4"))
+                    edges = (offsets[i : j + 1] - offsets[i]).tolist()
+                    parts = [block[a:b] for a, b in zip(edges, edges[1:], strict=False)]
+                    columns = [pa.array([None if x == NULL_ID else x for x in docs[i:j].tolist()], pa.int64()), pa.array(offsets[i:j] + base), pa.array(np.diff(offsets[i : j + 1])), pa.array(map(crc32, parts), pa.int64())]
                     columns += [pa.array([p.tolist() for p in parts], pa.list_(pa.int64()))] * with_ids
                     yield pa.RecordBatch.from_arrays(columns, names=names)
 
