@@ -6,6 +6,7 @@ White space follows Unicode where the pattern says ``(?U)``; ``(?d)`` makes only
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -79,6 +80,11 @@ WEB_LINES = [
 GERMAN = ["und", "der", "die", "das", "ist", "ein", "eine", "nicht", "mit", "sich", "auf", "für", "werden", "kann", "sind", "haben", "auch", "oder", "aber", "nach", "wie", "über"]
 
 
+def bind(c: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of an expression that is then computed once, however often ``f`` uses it."""
+    return F.transform(F.array(c), f)[0]
+
+
 def strip(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)\A\s+|\s+\z", "")
 
@@ -106,7 +112,7 @@ def without_lines(c: Column, patterns: list[str]) -> Column:
         return lambda x: F.when(F.contains(F.lower(F.upper(x)), F.lit(words_)), F.regexp_replace(x, f"(?dmiu){p}", "")).otherwise(x)
 
     for p in patterns:
-        c = F.transform(F.array(c), step(p))[0]  # binds the text
+        c = bind(c, step(p))
     return c
 
 
@@ -157,7 +163,7 @@ def clean(c: Column, min_chars: int = 400, normal_form: bool = True) -> Column:
     c = without_lines(without(strip_front_matter(c), RFC_LINES, "dm"), BOILERPLATE)
     c = plain_typography(nfc(c) if normal_form else c)
     c = strip(collapse_blank_lines(indent_lines(strip_controls(c))))
-    return F.when(F.length(c) >= min_chars, c)
+    return bind(c, lambda x: F.when(F.length(x) >= min_chars, x))
 
 
 def strip_shard_markers(c: Column) -> Column:
@@ -213,14 +219,14 @@ def strip_license(c: Column, most_lines: int = 30) -> Column:
         return of
 
     for p in LICENSE_HEADERS:
-        c = F.transform(F.array(c), cut(p))[0]  # binds the text, which would else be written out at every use
+        c = bind(c, cut(p))
     return F.regexp_replace(c, r"\A\n+", "")
 
 
 def clean_web(c: Column, least: int = 30, most: int = 10000) -> Column:
     c = without(strip(c), WEB_LINES, "dmi")
     c = strip(F.regexp_replace(collapse_blank_lines(c), r"[ \t]{4,}", "   "))
-    return F.when(word_count(c).between(least, most), c)
+    return bind(c, lambda x: F.when(word_count(x).between(least, most), x))
 
 
 def truncate_references(c: Column) -> Column:
@@ -237,23 +243,27 @@ def truncate_references(c: Column) -> Column:
         run = F.when(first_other == 0, F.size(tail)).otherwise(first_other - 1)
         return F.when(run > 20, F.array_join(F.slice(lines, 1, n - run + 5), "\n")).otherwise(F.array_join(lines, "\n"))
 
-    out = strip(collapse_blank_lines(F.transform(F.array(F.split(text, "\n")), cut)[0]))
-    return F.when(word_count(text).between(100, 30000) & (word_count(out) >= 80), out)
+    out = strip(collapse_blank_lines(bind(F.split(text, "\n"), cut)))
+    return F.when(word_count(text).between(100, 30000), bind(out, lambda x: F.when(word_count(x) >= 80, x)))
 
 
 def clean_passage(c: Column, least: int = 200, most: int = 8192) -> Column:
     """Tags out, blanks collapsed; long passages end at their last full stop if that is past 70 %."""
     c = F.regexp_replace(F.regexp_replace(strip(c), "<[^>]+>", " "), r"[ \t]+", " ")
     c = strip(F.regexp_replace(c, r"\n{3,}", "\n\n"))
-    head = F.substring(c, 1, most)
-    last = most - F.locate(".", F.reverse(head)) + 1
-    cut = F.when((F.locate(".", F.reverse(head)) > 0) & (last - 1 > most * 0.7), F.substr(head, F.lit(1), last)).otherwise(head)
-    return F.when(F.length(c) >= least, F.when(F.length(c) > most, cut).otherwise(c))
+
+    def cut(x: Column) -> Column:
+        head = F.substring(x, 1, most)
+        back = F.locate(".", F.reverse(head))
+        ended = F.when((back > 0) & (most - back > most * 0.7), F.substr(head, F.lit(1), most - back + 1)).otherwise(head)
+        return F.when(F.length(x) >= least, F.when(F.length(x) > most, ended).otherwise(x))
+
+    return bind(c, cut)
 
 
 def clean_answer(c: Column, least: int = 10) -> Column:
     c = strip(F.regexp_replace(F.regexp_replace(c, "<[^>]+>", " "), r"(?U)\s+", " "))
-    return F.when(F.length(c) >= least, c)
+    return bind(c, lambda x: F.when(F.length(x) >= least, x))
 
 
 def reading_comprehension(passage: Column, question: Column, answer: Column) -> Column:
@@ -264,13 +274,13 @@ def clean_comment(c: Column, least: int = 10, most: int = 2000) -> Column:
     """URLs masked, lines trimmed, empty lines dropped."""
     c = F.regexp_replace(c, r"https?://\S+|www\.\S+", "[URL]")
     c = F.array_join(F.filter(F.transform(F.split(c, "\n"), strip), lambda x: x != ""), "\n")
-    return F.when(word_count(c).between(least, most), c)
+    return bind(c, lambda x: F.when(word_count(x).between(least, most), x))
 
 
 def clean_qa(c: Column, least: int = 15, most: int = 3000) -> Column:
     c = F.regexp_replace(F.regexp_replace(c, "<[^>]+>", " "), r"&[a-z]+;", " ")
     c = strip(F.regexp_replace(c, r"(?U)\s+", " "))
-    return F.when(word_count(c).between(least, most), c)
+    return bind(c, lambda x: F.when(word_count(x).between(least, most), x))
 
 
 def api_text(c: Column) -> Column:
@@ -304,7 +314,7 @@ def html_text(c: Column, least: int = 100) -> Column:
     c = F.regexp_replace(F.regexp_replace(c, "</div>", "\n"), "</h[1-6]>", "\n\n")
     c = unescape_basic(F.regexp_replace(c, "<[^>]+>", " "))
     c = strip(F.regexp_replace(F.regexp_replace(c, r"[ \t]+", " "), r"\n{3,}", "\n\n"))
-    return F.when(F.length(c) > least, c)
+    return bind(c, lambda x: F.when(F.length(x) > least, x))
 
 
 def passages(c: Column, least: int = 80, most: int = 500) -> Column:

@@ -27,6 +27,11 @@ _SQL_INDENT = rf"""array_to_string(list_transform(string_split(t, chr(10)), lamb
     THEN repeat(' ', least(length(l) - length(regexp_replace(l, '^\s+', '')), 8)) || array_to_string({_sql_words('l')}, ' ') ELSE array_to_string({_sql_words('l')}, ' ') END), chr(10))"""
 
 
+def _kept(c):
+    """Rows whose text is not null. A filter would be pushed below the projection and clean every text twice."""
+    return F.explode(F.array_compact(F.array(c)))
+
+
 @query(rf"SELECT doc_id, {_sql_strip(r'''regexp_replace(lower(text), '\s+', ' ', 'g')''')} AS text FROM documents")
 def normalize_lines(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", T.normalize(F.col("text")).alias("text"))
@@ -39,7 +44,7 @@ c AS (SELECT doc_id, {_sql_strip(rf'''regexp_replace({_SQL_INDENT}, '\n{{4,}}',
 SELECT doc_id, text FROM c WHERE length(text) >= 400"""
 )
 def clean_text(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", T.clean(F.col("text")).alias("text")).where("text is not null")
+    return table(spark, sf_dir, "documents").select("doc_id", _kept(T.clean(F.col("text"))).alias("text"))
 
 
 @query(rf"SELECT doc_id, {_SQL_INDENT} AS text FROM (SELECT doc_id, text AS t FROM documents)")
@@ -77,7 +82,7 @@ b AS (SELECT doc_id, {_sql_strip(rf'''regexp_replace(regexp_replace({_sql_withou
 SELECT doc_id, text FROM b WHERE len({_sql_words('text')}) BETWEEN 30 AND 10000"""
 )
 def clean_web_text(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", T.clean_web(F.col("text")).alias("text")).where("text is not null")
+    return table(spark, sf_dir, "documents").select("doc_id", _kept(T.clean_web(F.col("text"))).alias("text"))
 
 
 @query()
@@ -85,7 +90,7 @@ def truncate_references(spark, sf_dir):
     """Documents with a list of citations appended to those whose id is even."""
     refs = "".join(f"\n[{i}] Author title" for i in range(1, 31))
     text = F.when(F.col("doc_id") % 2 == 0, F.concat("text", F.lit(refs))).otherwise(F.col("text"))
-    return table(spark, sf_dir, "documents").select("doc_id", T.truncate_references(text).alias("text")).where("text is not null")
+    return table(spark, sf_dir, "documents").select("doc_id", _kept(T.truncate_references(text)).alias("text"))
 
 
 _TAGLESS = _sql_strip(r"regexp_replace(regexp_replace(regexp_replace(text, '<[^>]+>', ' ', 'g'), '[ \t]+', ' ', 'g'), '\n{3,}', chr(10) || chr(10), 'g')")
@@ -96,7 +101,7 @@ _TAGLESS = _sql_strip(r"regexp_replace(regexp_replace(regexp_replace(text, '<[^>
 SELECT doc_id, CASE WHEN length(t) <= 8192 THEN t WHEN contains(h, '.') AND 8192 - strpos(reverse(h), '.') > 8192 * 0.7 THEN left(h, 8193 - strpos(reverse(h), '.')) ELSE h END AS text FROM b"""
 )
 def clean_passage(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", T.clean_passage(F.col("text")).alias("text")).where("text is not null")
+    return table(spark, sf_dir, "documents").select("doc_id", _kept(T.clean_passage(F.col("text"))).alias("text"))
 
 
 @query(
@@ -104,7 +109,7 @@ def clean_passage(spark, sf_dir):
 SELECT doc_id, text FROM a WHERE len({_sql_words('text')}) BETWEEN 10 AND 2000"""
 )
 def mask_urls(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", T.clean_comment(F.col("text")).alias("text")).where("text is not null")
+    return table(spark, sf_dir, "documents").select("doc_id", _kept(T.clean_comment(F.col("text"))).alias("text"))
 
 
 @query(

@@ -46,6 +46,16 @@ def ship(spark: SparkSession) -> None:
     sc.addPyFile(archive)
 
 
+#: Tables whose rows are whole texts, so that reading them is cheap beside what follows.
+_TEXTS = frozenset({"documents", "pages"})
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of a folder. One of texts that is read in no more tasks than there are cores, as a small file with a single
+    row group is, is dealt out to all of them; a larger table is read as it lies."""
     ship(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in _TEXTS and 1 < cores and df._jdf.rdd().getNumPartitions() <= cores:
+        return df.repartition(cores)
+    return df
