@@ -4,8 +4,10 @@ The pages of a host are merged into one tree whose nodes are style paths (block
 the root). Over the pages that have a node, its importance is the entropy of its presentations (the sequences of its
 children) for inner nodes and one less the mean entropy of its contents for texts: a text that all pages repeat has
 importance 0, one that differs on each page 1. A node's composite importance adds its children's, damped by level. A
-branch is removed where it and all below it stay under ``threshold``, if at least ``min_pages`` pages have it; nodes
-inside the page's article are not judged this way. What markup itself declares to be no content (scripts, forms,
+branch is removed where it and all below it stay under ``threshold``, if at least ``min_pages`` pages have it, inside the
+page's article too. An article or main element is a weight, not a verdict: of what the tree leaves, its text alone is
+taken unless more text stands outside than in the largest of them (cards of other pages), and a page of which the tree
+leaves nothing keeps its article. What markup itself declares to be no content (scripts, forms,
 navigation, adverts, comments, by tag, role, class or id) is removed on every page, so that hosts with few pages are
 handled too.
 
@@ -181,17 +183,33 @@ def _skip(html: str, at: int, tag: str) -> int:
 
 
 def main_text(html: str, noise: frozenset[int] | set[int]) -> str:
-    """Blocks of the article, or where the page has none all blocks that no removed branch holds, joined by newlines."""
+    """Blocks that no removed branch holds, joined by newlines: those of the article if it outweighs what is outside it."""
     blocks = [(node, text) for node, text in parse(html)[1] if not node.gone]
-    chosen = [text for node, text in blocks if node.main]
-    if not chosen:
-        for node, text in blocks:
-            up = node
-            while up is not None and up.sig not in noise:
-                up = up.parent
-            if up is None:
-                chosen.append(text)
-    return "\n".join(chosen)
+    left, inside, outside = [], {}, 0
+    for node, text in blocks:
+        up = node
+        while up is not None and up.sig not in noise:
+            up = up.parent
+        if up is None:
+            left.append((node, text))
+            top = _article(node)
+            if top is None:
+                outside += len(text)
+            else:
+                inside[top] = inside.get(top, 0) + len(text)
+    if not left:
+        left = [(node, text) for node, text in blocks if node.main]
+    elif inside and max(inside.values()) >= outside:
+        left = [(node, text) for node, text in left if node.main]
+    return "\n".join(text for _, text in left)
+
+
+def _article(node: Node) -> Node | None:
+    """The outermost article or main element that holds a node."""
+    top = None
+    while node is not None and node.main:
+        node, top = node.parent, node
+    return top
 
 
 def composite(rows: list[tuple[int, int, int, float]], damping: float) -> dict[int, float]:
@@ -228,12 +246,6 @@ def style_tree(pages: DataFrame, threshold: float = 0.5, min_pages: int = 5, dam
                 host, seen = split_url(url)[0], set()
                 nodes = [n for n in parse(html or "")[0][1:] if not n.gone and n.tag not in ("html", "body")]
                 for node in nodes:
-                    if node.main:  # what holds an article matters
-                        up = node.parent
-                        while up.parent is not None and not up.main and up.tag not in ("html", "body"):
-                            seen.add((host, up.sig, up.parent.sig, False, signed(xxhash.xxh3_64_intdigest(html.encode("utf-8", "replace")))))
-                            up = up.parent
-                        continue
                     if node.children:
                         seen.add((host, node.sig, node.parent.sig, True, signed(xxhash.xxh3_64_intdigest(repr(node.children).encode()))))
                     for text in node.texts or ([] if node.children else [""]):

@@ -124,6 +124,21 @@ def test_style_tree_removes_what_pages_repeat(spark):
     assert html.extract_main_text(df).count() == len(rows) and html.extract_main_text(df.limit(0)).count() == 0
 
 
+def test_style_tree_judges_inside_articles(spark):
+    box = lambda i: f"<body><article><h1>Title {i}</h1><div class='infopanel'><p>Every page has this box</p></div><p>Text number {i} differs</p></article>"
+    cards = lambda i: f"<body><article class='card'><p>Card {i} of it</p></article><article class='card'><p>Card {i + 1} of it</p></article><div class='story'><p>Story {i} is what this page is about</p><p>and goes on {i * 7}</p></div>"
+    fixed = "<body><article class='card'><p>The same card on all pages, longer than the story of the page that it stands on</p></article>"
+    rows = [(i, f"http://box.test/{i}", box(i)) for i in range(10)] + [(100 + i, f"http://cards.test/{i}", cards(i)) for i in range(10)]
+    rows += [(200 + i, f"http://fixed.test/{i}", f"{fixed}<div class='story'><p>Story {i}</p></div>") for i in range(10)]
+    rows += [(300 + i, f"http://same.test/{i}", box(0)) for i in range(6)]
+    got = {r.page_id: r.text for r in html.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(10):
+        assert got[i] == f"Title {i}\nText number {i} differs"
+        assert f"Story {i} is what this page is about\nand goes on {i * 7}" in got[100 + i]
+        assert got[200 + i] == f"Story {i}"
+    assert got[303] == "Title 0\nEvery page has this box\nText number 0 differs"
+
+
 def test_url_filter(spark):
     cases = {
         "http://Example.COM/en/1?x#y": ("example.com", "/en/1", "example.com/en/", "block"), "https://www.example.com/en/": ("www.example.com", "/en/", "www.example.com/en/", "allow"),
