@@ -29,19 +29,23 @@ from .common import broadcast_if_small, components, drop, materialize, small_par
 _BITS = np.array([[(v >> b) & 1 for b in range(8)] for v in range(256)], np.int64)
 
 
-def fingerprint(text: bytes | None, shingle: int = 3, seed: int = 42) -> int:
-    """Unsigned SimHash of one text: A-Z lower-cased, words joined by one space within a shingle."""
+def shingle_hashes(text: bytes | None, shingle: int = 3, seed: int = 42) -> list[int]:
+    """Hashes of the word shingles of one text: A-Z lower-cased, words joined by one space. Fewer words are one shingle."""
     words = (text or b"").lower().split()
-    if not words:
-        return 0
     n = len(words)
     if n <= shingle:
-        hashes = [xxhash.xxh64_intdigest(b" ".join(words), seed)]
-    else:
-        joined, digest = b" ".join(words), xxhash.xxh64_intdigest
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, n) + 1)
-        starts = [0, *ends[: n - shingle].tolist()]
-        hashes = [digest(joined[a:b], seed) for a, b in zip(starts, (ends[shingle - 1 :] - 1).tolist(), strict=True)]
+        return [xxhash.xxh64_intdigest(b" ".join(words), seed)] if words else []
+    joined, digest = b" ".join(words), xxhash.xxh64_intdigest
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, n) + 1)
+    starts = [0, *ends[: n - shingle].tolist()]
+    return [digest(joined[a:b], seed) for a, b in zip(starts, (ends[shingle - 1 :] - 1).tolist(), strict=True)]
+
+
+def fingerprint(text: bytes | None, shingle: int = 3, seed: int = 42) -> int:
+    """Unsigned SimHash of one text."""
+    hashes = shingle_hashes(text, shingle, seed)
+    if not hashes:
+        return 0
     octets = np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8)
     votes = np.concatenate([np.bincount(octets[:, i], minlength=256) @ _BITS for i in range(8)])
     return int(np.packbits(2 * votes > len(hashes), bitorder="little").view("<u8")[0])

@@ -1,6 +1,10 @@
 """The corpus pipeline against a brute-force version of its stages on the small tables."""
 
+import random
+
 import corpus_pipeline
+import pytest
+from siltstone.llm import jaccard
 from siltstone.llm.common import materialize
 from test_dedup import brute_components, brute_fingerprint, brute_lines
 from test_others import brute_leaks
@@ -47,3 +51,43 @@ def test_repeated_rows_and_clashing_columns(spark):
     assert kept.columns == docs.columns and sorted(kept.select("doc_id").collect(), key=repr) == sorted([(5,), (None,)], key=repr)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), SF).count() == 0
+
+
+def brute_jaccard(texts, least):
+    """Component labels over all pairs whose five-word shingle sets have the least Jaccard."""
+    words = [(t or "").encode().lower().split() for t in texts]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} if w else set() for w in words]
+    label = list(range(len(texts)))
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets[:i]):
+            if x == y or len(x & y) >= least * len(x | y) - 1e-9:
+                label = [label[j] if k == label[i] else k for k in label]
+    return label
+
+
+@pytest.mark.parametrize("sample_docs", [100_000, 5])
+def test_near_duplicates_by_jaccard_against_brute_force(spark, sample_docs):
+    rng = random.Random(3)
+    shared = [f"s{i}" for i in range(60)]
+    texts = [None, "", "one", "One", "one two three four five", "a b c d e f g h i"]
+    for _ in range(20):
+        words = [f"w{rng.randrange(3000)}" for _ in range(rng.randint(10, 250))] + shared * rng.randint(0, 1)
+        for _ in range(4):
+            copy = list(words)
+            for _ in range(rng.randint(0, 4)):
+                copy[rng.randrange(len(copy))] = f"new{rng.randrange(100)}"
+            texts.append(" ".join(copy[: len(copy) - rng.randint(0, 9)]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    groups = lambda pairs: sorted(sorted(d for d, r in pairs if r == root) for root in {r for _, r in pairs})
+    got = groups([(r.doc_id, r.root) for r in jaccard.near_duplicates(docs, sample_docs=sample_docs).collect()])
+    assert got == groups(list(enumerate(brute_jaccard(texts, 0.8)))) and len(got) < len(texts) - 9
+
+
+def test_stage_finds_a_copy_with_a_few_replaced_words(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(40):
+        words = [f"w{rng.randrange(5000)}" for _ in range(200)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(["new" if j in (60, 120) else w for j, w in enumerate(words)]))]
+    kept = corpus_pipeline.near_duplicate_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF)
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(0, 80, 2))
