@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import contextvars
 import ctypes
+import functools
 import os
 import shutil
 import tempfile
@@ -20,9 +22,12 @@ from ..registry import table as table
 #: Words of the contracts: runs of anything but the six ASCII white-space characters.
 SPACE_CLASS = r"[\x20\x09-\x0D]+"
 
+#: Tables of up to so many bytes of files are broadcast.
+BROADCAST_BYTES = 8 << 20
+
 _LOCAL_SCRATCH: dict[str, str] = {}
-#: Tables made by materialize() and not yet deleted, with the application that made them.
-_TABLES: dict[str, str] = {}
+#: Tables that the running operator (see tidy) has made and not yet deleted.
+_MADE: contextvars.ContextVar[list[DataFrame] | None] = contextvars.ContextVar("made", default=None)
 
 
 def words_of(text):
@@ -92,41 +97,74 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._siltstone_path = path
-    _TABLES[path] = spark.sparkContext.applicationId
+    made = _MADE.get()
+    if made is not None:
+        made.append(out)
     return out
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def _file_system(spark: SparkSession, path: str):
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
 
 
 def drop(df: DataFrame) -> None:
     """Delete a table made by materialize() that no later step reads."""
     path = getattr(df, "_siltstone_path", None)
     if path:
-        _TABLES.pop(path, None)
-        _delete(df.sparkSession, path)
-
-
-def sweep(docs: DataFrame) -> None:
-    """Delete all tables made by materialize() so far but those that ``docs`` reads: for the start of a pipeline stage,
-    when the results of the stages before it have been written."""
-    spark = docs.sparkSession
-    app = spark.sparkContext.applicationId
-    used = docs.inputFiles()
-    for path in [p for p, a in _TABLES.items() if a == app]:
-        name = path.rstrip("/").rsplit("/", 1)[-1]
-        if not any(name in f for f in used):
-            _TABLES.pop(path)
-            _delete(spark, path)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Mark a materialized table for broadcast only after counting it; beyond the bound the join shuffles."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+        made = _MADE.get()
+        if made is not None:
+            made[:] = [x for x in made if x is not df]
+        files, jpath = _file_system(df.sparkSession, path)
+        files.delete(jpath, True)
+
+
+def reads(df: DataFrame) -> list[str]:
+    """Root paths of the files that a plan reads; no file is listed."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    out = []
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() == "LogicalRelation" and leaf.relation().getClass().getSimpleName() == "HadoopFsRelation":
+            roots = leaf.relation().location().rootPaths()
+            out += [roots.apply(j).toString() for j in range(roots.size())]
+    return out
 
 
+def tidy(operator):
+    """An operator whose scratch tables are its own: when it returns, those that its result doesn't read are deleted. The
+    others pass to the operator that called it, if any, and else stay as long as the shared folder: the result is lazy."""
+
+    @functools.wraps(operator)
+    def run(*args, **kwargs):
+        outer, made = _MADE.get(), []
+        token, out = _MADE.set(made), None
+        try:
+            out = operator(*args, **kwargs)
+        finally:
+            _MADE.reset(token)
+            used = {p.rstrip("/").rsplit("/", 1)[-1] for p in reads(out)} if isinstance(out, DataFrame) else set()
+            for df in made:
+                if df._siltstone_path.rsplit("/", 1)[-1] not in used:
+                    drop(df)
+                elif outer is not None:
+                    outer.append(df)
+        return out
+
+    return run
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark a table for broadcast if all files it is read from have ``max_bytes`` at most; beyond the bound the join
+    shuffles. The size is that on disk, so a column of arrays counts with what it holds."""
+    size, roots = 0, set(reads(df))
+    for root in roots:
+        files, path = _file_system(df.sparkSession, root)
+        size += files.getContentSummary(path).getLength()
+    return F.broadcast(df) if roots and size <= max_bytes else df
+
+
+@tidy
 def components(links: DataFrame, tag: str = "components") -> DataFrame:
     """Connected components of ``links(a long, b long)``: one row (node, root) per node, root the smallest node.
 

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, let, materialize
+from .common import broadcast_if_small, let, materialize, tidy
 
 def normal_words(text: Column) -> Column:
     clean = F.trim(F.regexp_replace(F.lower(F.coalesce(text.cast("string"), F.lit(""))), r"[^\p{L}\p{N}]+", " "))
@@ -43,10 +43,11 @@ def index_blocks(fp: Column, radius: int) -> Column:
     edges = [64 * i // (radius + 1) for i in range(radius + 2)]
     return F.array(*[F.struct(F.lit(i).alias("block"), F.shiftrightunsigned(fp, a).bitwiseAND(F.lit((1 << (b - a)) - 1).cast("long")).alias("value")) for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False))])
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, shingle: int = 5, radius: int = 15, small: int = 500_000) -> DataFrame:
+@tidy
+def decontaminate(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, shingle: int = 5, radius: int = 15) -> DataFrame:
     """One row (doc_id, text_key, item_id, similarity) for each document and item that it holds a window of.
 
-    text_key is xxhash64 of the text. ``small``: tables of up to so many rows are broadcast, larger ones shuffled.
+    text_key is xxhash64 of the text.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), normal_words(F.col("text")).alias("words"))
     items = materialize(items.where(F.size("words") >= shingle).select("*", F.size("words").alias("w"), shingle_hashes(F.col("words"), shingle).alias("grams")), "decon")
@@ -54,7 +55,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), F.col("text").cast("string").alias("text"))
     spread = slim.select("doc_id", "text_key", F.posexplode(let(normal_words(F.col("text")), lambda w: shingle_hashes(w, shingle))).alias("pos", "gram"))
-    hits = materialize(spread.join(broadcast_if_small(grams, small), "gram").select("doc_id", "text_key", "pos", "w").distinct(), "decon")
+    hits = materialize(spread.join(broadcast_if_small(grams), "gram").select("doc_id", "text_key", "pos", "w").distinct(), "decon")
 
     width = F.col("w") - (shingle - 1)
     starts = hits.select("doc_id", "text_key", "w", F.explode(F.sequence(F.greatest(F.col("pos") - width + 1, F.lit(0)), F.col("pos"))).alias("start"))
@@ -62,7 +63,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8
     starts = materialize(starts.drop("count"), "decon")
 
     wanted = materialize(starts.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("w", "start")).alias("at")), "decon")
-    right = broadcast_if_small(wanted, small // 10).alias("r")
+    right = broadcast_if_small(wanted).alias("r")
 
     held = slim.alias("l").join(right, F.col("l.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("l.text_key") == F.col("r.text_key")))
     held = held.select("l.doc_id", "l.text_key", normal_words(F.col("text")).alias("words"), "at")
@@ -76,13 +77,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8
     item_prints = item_prints.groupBy("item_id", "w").agg(*simhash_votes("h")).select("item_id", "w", fingerprint_of_votes().alias("item_fp"))
     left = prints.select(*keys, "fp", F.explode(index_blocks(F.col("fp"), radius)).alias("k")).select(*keys, "fp", "k.*")
     index = materialize(item_prints.select("item_id", "w", "item_fp", F.explode(index_blocks(F.col("item_fp"), radius)).alias("k")).select("item_id", "w", "item_fp", "k.*"), "decon")
-    near = left.join(broadcast_if_small(index, small), ["w", "block", "value"]).where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius)
+    near = left.join(broadcast_if_small(index), ["w", "block", "value"]).where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius)
     pairs = near.select(*keys, "item_id").distinct()
 
     sides = [F.col(f"l.{k}") for k in keys]
     on = F.col("l.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("l.text_key") == F.col("r.text_key")) & (F.col("l.w") == F.col("r.w")) & (F.col("l.start") == F.col("r.start"))
     ours = pairs.alias("l").join(windows.dropDuplicates(keys).alias("r"), on).select(*sides, "item_id", F.explode(shingle_hashes(F.col("r.words"), shingle)).alias("gram"), F.lit(1).alias("a"), F.lit(0).alias("b"))
-    theirs = pairs.join(broadcast_if_small(items.select("item_id", "grams"), small), "item_id").select(*keys, "item_id", F.explode("grams").alias("gram"), F.lit(0).alias("a"), F.lit(1).alias("b"))
+    theirs = pairs.join(broadcast_if_small(items.select("item_id", "grams")), "item_id").select(*keys, "item_id", F.explode("grams").alias("gram"), F.lit(0).alias("a"), F.lit(1).alias("b"))
     weights = ours.unionByName(theirs).groupBy(*keys, "item_id", "gram").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     scored = weights.groupBy(*keys, "item_id").agg((F.sum(F.least("a", "b")) / F.sum(F.greatest("a", "b"))).alias("similarity"))
     return scored.where(F.col("similarity") >= similarity).groupBy("doc_id", "text_key", "item_id").agg(F.max("similarity").alias("similarity"))

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, materialize, small_parts
+from .common import broadcast_if_small, materialize, small_parts, tidy
 from .urls import split_url
 
 # Tags of HTML by what they do to text.
@@ -284,6 +284,7 @@ def style_tree(pages: DataFrame, threshold: float = 0.5, min_pages: int = 5, dam
     return nodes.groupBy("host").applyInArrow(judge, "host string, noise array<long>")
 
 
+@tidy
 def extract_main_text(pages: DataFrame, threshold: float = 0.5, min_pages: int = 5) -> DataFrame:
     """page_id, url, text and n_chars of every page."""
     slim = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
@@ -291,7 +292,7 @@ def extract_main_text(pages: DataFrame, threshold: float = 0.5, min_pages: int =
     url = F.coalesce("url", F.lit(""))
     rest = F.when(F.locate("://", url) > 0, F.expr("substring(coalesce(url, ''), locate('://', coalesce(url, '')) + 3)")).otherwise("")
     host = F.translate(F.regexp_extract(rest, "^[^/?#]*", 0), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    joined = slim.withColumn("host", host).join(broadcast_if_small(trees, 20_000), "host", "left").select("page_id", "url", "html", "noise")
+    joined = slim.withColumn("host", host).join(broadcast_if_small(trees), "host", "left").select("page_id", "url", "html", "noise")
 
     def run(batches):
         for batch in small_parts(batches):

@@ -1,17 +1,23 @@
-"""Near-duplicate stage of the pipeline: documents with a set similarity of word shingles, exactly and without loss.
+"""Operator 8 with a similarity: SimHash links verified and completed to all pairs of a Jaccard of word shingles.
 
-A document is its set of XXH64 values over five-word shingles (words as in simhash.py). Equal sets collapse first. Two
-sets of n shingles with a Jaccard of s or more share one among the first n - ceil(s n) + 1 of each, in any order that all
-documents keep. So each set emits only these, sets that share one and can still reach s by their sizes and places are
-candidates, and candidates are verified on their whole sets. 64 bits of SimHash cannot stand in for this: at a Jaccard of
-0.8 five-word fingerprints differ by about 10 bits, and anchors for that radius cover most of the space.
+A document is its set of XXH64 values over five-word shingles (words as in simhash.py). Equal sets collapse first. Then:
+
+1. Anchors link fingerprints within the threshold; each link is verified on the whole sets. This joins exact and close
+   copies, and large groups of copies nearly whole, at the price of a forest of links.
+2. At a Jaccard of 0.8 five-word fingerprints differ by about 10 bits of 64, which no anchors can cover, so what is left
+   is completed without loss. Two sets of n shingles with a Jaccard of s or more share one among the first
+   n - ceil(s n) + 1 of each, in any order that all documents keep. Each set emits only these. Rows of one shingle and one
+   group found so far are one row, combined before the shuffle, so no group of copies makes a hot shingle; shingles that
+   one group alone emits end there. Of every other shingle, its least set is compared with the least of each group.
+3. Shingles that still join different groups bring their rows again: all pairs of sets in different groups that share
+   one and can reach s by their sizes and places are verified. Rows of a shingle's largest group meet only other groups.
 
 The order takes shingles of seldom used buckets first, by a sketch of counts over a bounded sample of the documents, so
-that phrases which many documents share are not what they meet by. Any sketch gives the same result. Only rows whose
-shingle a second set emits are joined.
+that phrases which many documents share are not what they meet by. Any sketch gives the same result.
 
 Nulls: null and wordless texts have the empty set and are one group; a text under five words is one shingle. Repeated
-rows share a group. An empty table gives no rows. Other columns are not read.
+rows share a group. Ties don't matter: groups are whole components. A text may be of any length; its set is held in
+memory by itself. An empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -24,15 +30,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, components, drop, materialize, small_parts
-from .simhash import shingle_hashes
+from .common import broadcast_if_small, components, drop, materialize, small_parts, tidy
+from .repeats import release
+from .simhash import anchor_links, majority, shingle_hashes
 
 _BITS = 16
 
 
 def shingle_set(text: bytes | None, shingle: int = 5, seed: int = 42) -> np.ndarray:
     """Sorted different shingle hashes of one text."""
-    return np.unique(np.array(shingle_hashes(text, shingle, seed), np.uint64))
+    return np.unique(np.array(shingle_hashes(text, shingle, seed), "<u8"))
 
 
 def prefix(grams: np.ndarray, ranks: np.ndarray, shift: int, similarity: float) -> np.ndarray:
@@ -60,25 +67,59 @@ def bucket_counts(slim: DataFrame, sample: int, shingle: int, seed: int) -> np.n
     return out
 
 
-def shared(batches):
-    """Sorted by gram: rows whose gram a second row has. Holds one row."""
-    last, held = None, None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys = batch.column(0).to_numpy()
-        keep, same = np.zeros(len(keys), bool), keys[1:] == keys[:-1]
-        keep[1:] |= same
-        keep[:-1] |= same
-        if keys[0] == last:
-            keep[0] = True
-            if held is not None:
-                yield held
-        last, held = keys[-1], None if keep[-1] else batch.slice(len(keys) - 1, 1)
-        yield batch.filter(pa.array(keep))
-
-
-def near_duplicates(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, seed: int = 42, sample_docs: int = 100_000) -> DataFrame:
+#: A set in the place of a shingle: (size, set, place of the shingle in its order).
+_ITEM = ["n", "set", "pos"]
+
+
+def can_reach(n: np.ndarray, pos: np.ndarray, m: np.ndarray, at: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether sets of n and m shingles can have the similarity if the first one they share is at these places: all
+    before it is in one set only, a share of their sizes at most."""
+    return (np.minimum(n, m) >= similarity * np.maximum(n, m) - 1e-6) & ((pos + at) * (1 + similarity) <= (n + m) * (1 - similarity) + 1e-6)
+
+
+def emit(batches):
+    """Rows (set, n, root, firsts) -> the least item of each shingle and root of a batch."""
+    for batch in small_parts(batches):
+        firsts = batch.column(3)
+        sizes = firsts.value_lengths().to_numpy()
+        at = np.repeat(np.arange(len(sizes)), sizes)
+        gram, n, name, root = firsts.flatten().to_numpy(), batch.column(1).to_numpy()[at], batch.column(0).to_numpy()[at], batch.column(2).to_numpy()[at]
+        pos = np.arange(len(at)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        order = np.lexsort((name, n, root, gram))
+        gram, root = gram[order], root[order]
+        lead = np.ones(len(order), bool)
+        lead[1:] = (gram[1:] != gram[:-1]) | (root[1:] != root[:-1])
+        order = order[lead]
+        columns = [gram[lead], root[lead], n[order], name[order], pos[order].astype(np.int32)]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["gram", "root", *_ITEM])
+
+
+def met(similarity: float):
+    """Sorted by gram, root, n and set: the roots of each shingle that has two, with the least set of the first root and
+    that of this one, ``a`` null where they can't have the similarity. Holds one row."""
+
+    def run(batches):
+        gram = root = held = None
+        for batch in batches:
+            rows = []
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if row[0] != gram:
+                    gram, root, held, shown = row[0], row[1], row, False
+                elif row[1] != root:
+                    root = row[1]
+                    if not shown:
+                        rows.append((gram, held[1], None, held[3]))
+                        shown = True
+                    near = can_reach(held[2], held[4], row[2], row[4], similarity)
+                    rows.append((gram, root, held[3] if near else None, row[3]))
+            columns = list(zip(*rows, strict=True)) if rows else [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["gram", "root", "a", "b"])
+
+    return run
+
+
+@tidy
+def similar_documents(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, seed: int = 42, threshold: int = 3, home_size: int = 128, anchor_rows: int = 100_000, sample_docs: int = 100_000) -> DataFrame:
     """doc_id, text_key (xxhash64 of the text) and root, which names the component over all pairs of ``similarity``."""
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("text_key"))
     n = slim.count()
@@ -86,24 +127,22 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, shingle: int = 5,
 
     def scan(batches):
         for batch in small_parts(batches):
-            keys, sizes, firsts = [], [], []
+            keys, sizes, firsts, prints = [], [], [], []
             for text in batch.column(1).cast(pa.binary()).to_pylist():
-                grams = shingle_set(text, shingle, seed)
+                hashes = np.array(shingle_hashes(text, shingle, seed), "<u8")
+                grams = np.unique(hashes)
                 keys.append(xxhash.xxh3_64_intdigest(grams.tobytes()))
                 sizes.append(len(grams))
                 firsts.append(prefix(grams, ranks.value, 64 - _BITS, similarity).view(np.int64))
-            made = [pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(firsts, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *made], names=["doc_id", "text_key", "set", "n", "firsts"])
-
-    sets = materialize(slim.mapInArrow(scan, "doc_id long, text_key long, set long, n int, firsts array<long>"), "jaccard")
-    emitted = sets.dropDuplicates(["set"]).select("set", "n", F.posexplode("firsts").alias("pos", "gram")).select("gram", "set", "n", "pos")
-    emitted = emitted.repartition("gram").sortWithinPartitions("gram")
-    met = materialize(emitted.mapInArrow(shared, emitted.schema), "jaccard")
+                prints.append(majority(hashes))
+            made = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (keys, prints)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *made, pa.array(sizes, pa.int32()), pa.array(firsts, pa.list_(pa.int64()))], names=["doc_id", "text_key", "set", "fp", "n", "firsts"])
 
-    # the first shingle that two sets share leaves all before it in one set only, a share of their sizes at most
-    a, b = F.col("a"), F.col("b")
-    reach = (a["n"] >= b["n"] * F.lit(similarity) - 1e-6) & ((a["pos"] + b["pos"]) * F.lit(1 + similarity) <= (a["n"] + b["n"]) * F.lit(1 - similarity) + 1e-6)
-    members = sets.select("doc_id", "text_key", "set")
+    rows = materialize(slim.mapInArrow(scan, "doc_id long, text_key long, set long, fp long, n int, firsts array<long>"), "jaccard")
+    members = rows.select("doc_id", "text_key", "set")
+    # equal sets of texts that repeat shingles unequally have prints of their own
+    prints = materialize(rows.select("fp", "set").distinct(), "jaccard")
+    leads = materialize(prints.groupBy("fp").agg(F.min("set").alias("lead")), "jaccard")
 
     def whole(batches):
         for batch in small_parts(batches):
@@ -120,28 +159,54 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, shingle: int = 5,
                 ok.append(both >= similarity * (len(p) + len(q) - both) - 1e-9)
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
+    @tidy
     def linked(pairs: DataFrame) -> DataFrame:
         """The pairs of sets that have the similarity."""
-        pairs = materialize(pairs.select(F.col("a.set").alias("a"), F.col("b.set").alias("b")).distinct(), "jaccard")
+        pairs = materialize(pairs.where("a <> b").distinct(), "jaccard")
         ids = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set"))).distinct()
         wanted = members.join(ids, "set", "left_semi").dropDuplicates(["set"]).select(F.col("doc_id").alias("k_doc"), F.col("text_key").alias("k_text"), "set")
-        wanted = broadcast_if_small(materialize(wanted, "jaccard"), 200_000)
+        wanted = broadcast_if_small(materialize(wanted, "jaccard"))
         held = slim.join(wanted, F.col("doc_id").eqNullSafe(F.col("k_doc")) & (F.col("text_key") == F.col("k_text"))).select("set", "text")
         full = materialize(held.mapInArrow(whole, "set long, grams array<long>").dropDuplicates(["set"]), "jaccard")
         sides = pairs.join(full.select(F.col("set").alias("a"), F.col("grams").alias("x")), "a").join(full.select(F.col("set").alias("b"), F.col("grams").alias("y")), "b")
-        out = materialize(sides.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long"), "jaccard")
-        drop(full)
-        return out
-
-    # first each set with the least of each shingle's sets; then all pairs that this has not connected, so that a group of
-    # near copies gives no square of pairs
-    item = F.struct("n", "set", "pos")
-    least = met.groupBy("gram").agg(F.min(item).alias("a"))
-    links = linked(met.select("gram", item.alias("b")).join(least, "gram").where("a.set <> b.set").where(reach))
-    roots = materialize(components(links, "jaccard"), "jaccard")
-    known = materialize(met.join(roots, met.set == roots.node, "left").select("gram", item.alias("s"), F.coalesce("root", "set").alias("root")), "jaccard")
-    left, right = known.select("gram", F.col("s").alias("a"), F.col("root").alias("ra")), known.select(F.col("gram").alias("g"), F.col("s").alias("b"), F.col("root").alias("rb"))
-    smaller = F.struct(F.col("a.n"), F.col("a.set")) < F.struct(F.col("b.n"), F.col("b.set"))
-    more = linked(left.join(right, (F.col("gram") == F.col("g")) & (F.col("ra") != F.col("rb")) & smaller & reach))
-    roots = components(links.unionByName(more), "jaccard")
-    return members.join(roots, members.set == roots.node, "left").select("doc_id", "text_key", F.coalesce("root", "set").alias("root"))
+        return materialize(sides.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long"), "jaccard")
+
+    def grouped(links: DataFrame) -> DataFrame:
+        return materialize(components(links, "jaccard"), "jaccard")
+
+    near = anchor_links(leads, threshold, home_size, anchor_rows, true_links=True)
+    a, b = leads.select(F.col("fp").alias("a"), F.col("lead").alias("x")), leads.select(F.col("fp").alias("b"), F.col("lead").alias("y"))
+    near = near.join(a, "a").join(b, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    same = prints.join(leads, "fp").select(F.col("lead").alias("a"), F.col("set").alias("b"))
+    links = linked(near.unionByName(same))
+    roots = grouped(links)
+
+    def emitting(roots: DataFrame) -> DataFrame:
+        """Each set once, with its group."""
+        sets = rows.select("set", "n", "firsts").dropDuplicates(["set"])
+        return sets.join(roots, sets.set == roots.node, "left").select("set", "n", F.coalesce("root", "set").alias("root"), "firsts")
+
+    emitted = emitting(roots).mapInArrow(emit, "gram long, root long, n int, set long, pos int").repartition("gram").sortWithinPartitions("gram", "root", *_ITEM[:2])
+    between = materialize(emitted.mapInArrow(met(similarity), "gram long, root long, a long, b long"), "jaccard")
+    release(docs.sparkSession)
+    links = links.unionByName(linked(between.where("a is not null").select("a", "b")))
+    new = grouped(links)
+
+    named = between.join(new, between.b == new.node, "left").select("gram", F.coalesce(new.root, between.root).alias("root"))
+    open_ = materialize(named.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("gram"), "jaccard")
+    drop(between)
+    if not open_.isEmpty():
+        again = emitting(new).select("set", "n", "root", F.posexplode("firsts").alias("pos", "gram"))
+        again = materialize(again.join(broadcast_if_small(open_), "gram", "left_semi").select("gram", "root", *_ITEM), "jaccard")
+        counts = again.groupBy("gram", "root").agg(F.count("*").alias("c")).groupBy("gram").agg(F.max(F.struct("c", "root")).alias("most"))
+        marked = materialize(again.join(counts, "gram").select("gram", "root", *_ITEM, (F.col("root") == F.col("most.root")).alias("main")), "jaccard")
+        drop(again)
+        # each pair of groups once: a row outside its shingle's main group meets that group, and lesser sets outside it
+        l, r = F.col("l"), F.col("r")
+        side = lambda df, name: df.select(F.struct("gram", "root", *_ITEM, "main").alias(name))
+        once = r["main"] | (F.struct(r["n"], r["set"]) < F.struct(l["n"], l["set"]))
+        reach = (F.least(l["n"], r["n"]) >= F.greatest(l["n"], r["n"]) * F.lit(similarity) - 1e-6) & ((l["pos"] + r["pos"]) * F.lit(1 + similarity) <= (l["n"] + r["n"]) * F.lit(1 - similarity) + 1e-6)
+        pairs = side(marked.where("not main"), "l").join(side(marked, "r"), (l["gram"] == r["gram"]) & (l["root"] != r["root"]) & once & reach)
+        links = links.unionByName(linked(pairs.select(l["set"].alias("a"), r["set"].alias("b"))))
+        new = components(links, "jaccard")
+    return members.join(new, members.set == new.node, "left").select("doc_id", "text_key", F.coalesce("root", "set").alias("root"))

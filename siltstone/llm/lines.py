@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import broadcast_if_small, drop, materialize, small_parts
+from .common import broadcast_if_small, drop, materialize, small_parts, tidy
 
 _SIGN = 1 << 63
 _BLANK = " \t\r\x0b\x0c"
@@ -61,6 +61,7 @@ def neighbourhood(line: str, parts: set[tuple[int, int]]) -> list[tuple[int, int
     return [(*line_hash(line.encode()), -1), *((*line_hash((line[:i] + line[i + 1 :]).encode()), i) for i in places)]
 
 
+@tidy
 def dedup_lines(docs: DataFrame, min_chars: int = 16) -> DataFrame:
     """The input with ``text`` reduced to kept lines, and the columns dedup_lines (lines with text) and dedup_removed."""
     cols = docs.columns
@@ -110,7 +111,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 16) -> DataFrame:
     near = materialize(close.groupBy("h1", "h2", "doc", "tk", "n").agg(F.collect_set("slot").alias("slots")), "lines-close")
     drop(close)
     per_doc = materialize(near.groupBy("doc", "tk").agg(F.collect_list(F.struct("n", "slots")).alias("todo")), "lines-close")
-    side = broadcast_if_small(per_doc, 200_000).alias("r")
+    side = broadcast_if_small(per_doc).alias("r")
     held = boxed.select("doc", "tk", "txt").alias("l").join(side, F.col("l.doc").eqNullSafe(F.col("r.doc")) & (F.col("l.tk") == F.col("r.tk"))).select("l.doc", "l.tk", "txt", "todo")
 
     def pick(batches):

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_CLASS, broadcast_if_small, let, materialize
+from .common import SPACE_CLASS, broadcast_if_small, let, materialize, tidy
 
 _SPACES = " \t\n\x0b\x0c\r"
 # The symbols counted.
@@ -53,6 +53,7 @@ def metrics(text: Column) -> Column:
     )
 
 
+@tidy
 def quality_rules(docs: DataFrame, carry: list[str] | None = None, min_words: int = 50, max_repeat_percent: int = 50, spread: float = 3.0) -> DataFrame:
     """Adds to every row its counts, base_failed and kept. ``carry``: the columns to bring along in ``row`` (all)."""
     row = F.struct(*[F.col(f"`{c}`") for c in (carry or docs.columns)]).alias("row")
@@ -71,7 +72,7 @@ def quality_rules(docs: DataFrame, carry: list[str] | None = None, min_words: in
     quartiles = [F.percentile_approx(c, [0.25, 0.75], 10000).alias(f"q_{c}") for c in RULES]
     fences = m.where(~F.col("base_failed")).groupBy("g_lang", "g_source").agg(*quartiles)
     fences = materialize(fences, "quality-fences").select(F.col("g_lang").alias("f_lang"), F.col("g_source").alias("f_source"), *[f"q_{c}" for c in RULES])
-    joined = m.join(broadcast_if_small(fences, 100_000), F.col("g_lang").eqNullSafe(F.col("f_lang")) & F.col("g_source").eqNullSafe(F.col("f_source")), "left")
+    joined = m.join(broadcast_if_small(fences), F.col("g_lang").eqNullSafe(F.col("f_lang")) & F.col("g_source").eqNullSafe(F.col("f_source")), "left")
     bad = F.lit(False)
     for c, (side, margin) in RULES.items():
         low, high = F.col(f"q_{c}")[0], F.col(f"q_{c}")[1]

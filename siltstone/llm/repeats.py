@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import drop, materialize, small_parts
+from .common import drop, materialize, small_parts, tidy
 
 #: A null doc_id in these steps: after all others.
 LAST = (1 << 63) - 1
@@ -280,6 +280,7 @@ def repeated(symbols: np.ndarray, part: Callable[[int, int], bytes], keys: np.nd
     return np.cumsum(edges[:n]) > 0
 
 
+@tidy
 def apply(docs: DataFrame, kind: Kind, schema: str, judge: Callable[[int | None, bytes, np.ndarray, Callable], tuple], tag: str, group_rows: int = 20_000) -> DataFrame:
     """Runs ``judge(doc_id, text, mask of repeated symbols, part)`` on every row; it returns a row of ``schema``."""
     known = unrepeated(docs, kind, tag, group_rows)

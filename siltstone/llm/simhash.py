@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, components, drop, materialize, small_parts
+from .common import broadcast_if_small, components, materialize, small_parts, tidy
 
 _BITS = np.array([[(v >> b) & 1 for b in range(8)] for v in range(256)], np.int64)
 
@@ -43,10 +43,14 @@ def shingle_hashes(text: bytes | None, shingle: int = 3, seed: int = 42) -> list
 
 def fingerprint(text: bytes | None, shingle: int = 3, seed: int = 42) -> int:
     """Unsigned SimHash of one text."""
-    hashes = shingle_hashes(text, shingle, seed)
-    if not hashes:
+    return majority(np.array(shingle_hashes(text, shingle, seed), "<u8"))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits set in over half the hashes (little-endian uint64), as an unsigned integer."""
+    if not len(hashes):
         return 0
-    octets = np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8)
+    octets = hashes.view(np.uint8).reshape(-1, 8)
     votes = np.concatenate([np.bincount(octets[:, i], minlength=256) @ _BITS for i in range(8)])
     return int(np.packbits(2 * votes > len(hashes), bitorder="little").view("<u8")[0])
 
@@ -109,7 +113,26 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[keep], nodes[label[keep]]
 
 
-def links_of(homes: np.ndarray, visitors: np.ndarray, threshold: int, cells: int = 1_000_000) -> tuple[np.ndarray, np.ndarray]:
+def tree(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Some of the links a-b themselves, with the same components as all of them and no cycle."""
+    nodes, flat = np.unique(np.concatenate([a, b]), return_inverse=True)
+    i, j = flat[: len(a)], flat[len(a) :]
+    label, live, taken = np.arange(len(nodes)), np.arange(len(a)), []
+    while True:
+        x, y = label[i[live]], label[j[live]]
+        live, x, y = live[x != y], x[x != y], y[x != y]
+        if not len(live):
+            break
+        high, first = np.unique(np.maximum(x, y), return_index=True)  # each root hangs on one smaller one
+        label[high] = np.minimum(x, y)[first]
+        taken.append(live[first])
+        while (label[label] != label).any():
+            label = label[label]
+    keep = np.concatenate(taken) if taken else live
+    return a[keep], b[keep]
+
+
+def links_of(homes: np.ndarray, visitors: np.ndarray, threshold: int, cells: int = 1_000_000, span=forest) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest of all links between homes and visitors within the threshold."""
     a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     step = max(1, cells // max(1, len(visitors)))
@@ -120,19 +143,20 @@ def links_of(homes: np.ndarray, visitors: np.ndarray, threshold: int, cells: int
         x, y = part[x].view(np.int64), visitors[y].view(np.int64)
         off = x != y
         if off.any():
-            u, v = forest(x[off], y[off])
+            u, v = span(x[off], y[off])
             a.append(u)
             b.append(v)
     return np.concatenate(a), np.concatenate(b)
 
 
-def near_duplicates(docs: DataFrame, threshold: int = 3, shingle: int = 3, seed: int = 42, home_size: int = 128, anchor_rows: int = 100_000, with_text_key: bool = False) -> DataFrame:
-    """doc_id, fp (signed long) and component_id, the smallest doc_id reachable over links of <= threshold bits;
-    with_text_key adds text_key and root, which names the component even if all its doc_ids are null."""
-    prints = materialize(fingerprints(docs, shingle, seed), "simhash")
-    distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash")
-    n = distinct.count()
-    k = min(24, max(4, (max(1, n // home_size) - 1).bit_length()))
+def anchor_links(distinct: DataFrame, threshold: int = 3, home_size: int = 128, anchor_rows: int = 100_000, true_links: bool = False) -> DataFrame:
+    """Links (a, b) that connect all fingerprints ``distinct(fp)`` within the threshold. With true_links each is itself
+    within it; else they are stars, which components() takes in fewer rounds. ``distinct`` is a written table.
+
+    k, the blocks of the code, grows until a block has two bits, at 2**32 anchors.
+    """
+    k = min(32, max(4, (max(1, distinct.count() // home_size) - 1).bit_length()))
+    span = tree if true_links else forest
 
     def spread(batches):
         for batch in batches:
@@ -149,7 +173,7 @@ def near_duplicates(docs: DataFrame, threshold: int = 3, shingle: int = 3, seed:
         dealt = met.select("anchor", F.lit(0).alias("hc"), F.lit(0).alias("vc"), "fp", "home", F.lit(True).alias("visit"))
     else:
         grid = hot.select("anchor", F.ceil(F.col("homes") / anchor_rows).cast("int").alias("nh"), F.ceil(F.col("all") / anchor_rows).cast("int").alias("nv"))
-        dealt = met.join(broadcast_if_small(grid, 100_000), "anchor", "left").fillna(1, ["nh", "nv"])
+        dealt = met.join(broadcast_if_small(grid), "anchor", "left").fillna(1, ["nh", "nv"])
         at = F.hash("fp")
         sides = F.array(F.struct(F.lit(True).alias("visit")), F.struct(F.lit(False).alias("visit")))
         dealt = dealt.select("*", F.explode(sides).alias("s")).where("s.visit or home")
@@ -158,18 +182,33 @@ def near_duplicates(docs: DataFrame, threshold: int = 3, shingle: int = 3, seed:
 
     def compare(t: pa.Table) -> pa.Table:
         fp, home = t.column("fp").to_numpy().view(np.uint64), t.column("home").to_numpy(zero_copy_only=False)
-        a, b = links_of(fp[home], fp[t.column("visit").to_numpy(zero_copy_only=False)], threshold)
+        a, b = links_of(fp[home], fp[t.column("visit").to_numpy(zero_copy_only=False)], threshold, span=span)
         if len(a):
-            a, b = forest(a, b)
+            a, b = span(a, b)
         return pa.table({"a": a, "b": b})
 
-    links = dealt.groupBy("anchor", "hc", "vc").applyInArrow(compare, "a long, b long")
-    roots = components(links, "simhash")
-    drop(hot)
+    return dealt.groupBy("anchor", "hc", "vc").applyInArrow(compare, "a long, b long")
+
+
+@tidy
+def near_duplicates(docs: DataFrame, threshold: int = 3, shingle: int = 3, seed: int = 42, home_size: int = 128, anchor_rows: int = 100_000, similarity: float | None = None) -> DataFrame:
+    """doc_id, fp (signed long) and component_id, the smallest doc_id reachable over links of <= threshold bits.
+
+    With ``similarity``: doc_id, text_key and root, which names the component over all pairs of documents whose shingle
+    sets have that Jaccard. Links of <= threshold bits are verified by it, and what they have not connected is completed
+    (see jaccard.py).
+    """
+    if similarity is not None:
+        from .jaccard import similar_documents  # which needs the functions above
+
+        return similar_documents(docs, similarity, shingle, seed, threshold, home_size, anchor_rows)
+    prints = materialize(fingerprints(docs, shingle, seed), "simhash")
+    distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash")
+    roots = components(anchor_links(distinct, threshold, home_size, anchor_rows), "simhash")
     classes = materialize(distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "rep", F.coalesce("root", "fp").alias("root")), "simhash")
     names = classes.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = classes.join(names, "root").select("fp", "component_id", "root")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id", *["text_key", "root"] * with_text_key)
+    named = classes.join(names, "root").select("fp", "component_id")
+    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
 def fingerprint_hex(fp):
