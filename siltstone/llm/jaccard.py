@@ -2,15 +2,20 @@
 
 A document is its set of XXH64 values over five-word shingles (words as in simhash.py). Equal sets collapse first. Then:
 
-1. Anchors link fingerprints within the threshold; each link is verified on the whole sets. This joins exact and close
-   copies, and large groups of copies nearly whole, at the price of a forest of links.
+1. Anchors link fingerprints within the threshold; of each print's links the least and the greatest are verified on the
+   whole sets. This joins exact and close copies, and large groups of copies nearly whole, at two links a document.
 2. At a Jaccard of 0.8 five-word fingerprints differ by about 10 bits of 64, which no anchors can cover, so what is left
    is completed without loss. Two sets of n shingles with a Jaccard of s or more share one among the first
-   n - ceil(s n) + 1 of each, in any order that all documents keep. Each set emits only these. Rows of one shingle and one
-   group found so far are one row, combined before the shuffle, so no group of copies makes a hot shingle; shingles that
-   one group alone emits end there. Of every other shingle, its least set is compared with the least of each group.
-3. Shingles that still join different groups bring their rows again: all pairs of sets in different groups that share
-   one and can reach s by their sizes and places are verified. Rows of a shingle's largest group meet only other groups.
+   n - ceil(s n) + 1 of each, in any order that all documents keep. Each set emits only these. Where many rows of a batch
+   have one shingle and one group found so far, they become one row before the shuffle, so that no group of copies makes
+   a hot shingle. Shingles that one group alone emits end there. Of every other shingle, its least set is compared with
+   the least of each group.
+3. Of shingles that still join different groups, all pairs of sets in different groups that can reach s by their sizes
+   and places are verified; rows of a shingle's largest group meet only other groups. Shingles with rows combined, or too
+   many to hold, bring their rows again for this.
+
+Before a pair's whole sets are fetched, the counts of their shingles by the first bits give an upper bound of the
+similarity; only pairs that it leaves are verified.
 
 The order takes shingles of seldom used buckets first, by a sketch of counts over a bounded sample of the documents, so
 that phrases which many documents share are not what they meet by. Any sketch gives the same result.
@@ -31,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import broadcast_if_small, components, drop, materialize, small_parts, tidy
-from .repeats import release
+from .repeats import _batch, release
 from .simhash import anchor_links, majority, shingle_hashes
 
 _BITS = 16
@@ -67,18 +72,38 @@ def bucket_counts(slim: DataFrame, sample: int, shingle: int, seed: int) -> np.n
     return out
 
 
+#: Bits of the counts that bound a pair's similarity.
+_COUNTS = 7
+
+
+def counts_of(grams: np.ndarray) -> bytes:
+    """Shingles of a set by their first bits; 255 stands for that many or more."""
+    return np.minimum(np.bincount((grams >> np.uint64(64 - _COUNTS)).astype(np.int64), minlength=1 << _COUNTS), 255).astype(np.uint8).tobytes()
+
+
+def may_reach(n: np.ndarray, m: np.ndarray, x: np.ndarray, y: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether sets of n and m shingles with these counts (a row of uint8 each) can have the similarity."""
+    both = np.minimum(x, y)
+    return (both == 255).any(axis=1) | (both.sum(axis=1, dtype=np.int64) >= similarity / (1 + similarity) * (n + m) - 1e-6)
+
+
 #: A set in the place of a shingle: (size, set, place of the shingle in its order).
 _ITEM = ["n", "set", "pos"]
 
 
-def can_reach(n: np.ndarray, pos: np.ndarray, m: np.ndarray, at: np.ndarray, similarity: float) -> np.ndarray:
+def can_reach(n: int, pos: int, m: int, at: int, similarity: float) -> bool:
     """Whether sets of n and m shingles can have the similarity if the first one they share is at these places: all
     before it is in one set only, a share of their sizes at most."""
-    return (np.minimum(n, m) >= similarity * np.maximum(n, m) - 1e-6) & ((pos + at) * (1 + similarity) <= (n + m) * (1 - similarity) + 1e-6)
+    return min(n, m) >= similarity * max(n, m) - 1e-6 and (pos + at) * (1 + similarity) <= (n + m) * (1 - similarity) + 1e-6
+
+
+#: Rows of one shingle and group that a batch leaves apart, and rows of one shingle that a task holds.
+_APART, _HELD = 64, 4096
 
 
 def emit(batches):
-    """Rows (set, n, root, firsts) -> the least item of each shingle and root of a batch."""
+    """Rows (set, n, root, firsts) -> (gram, root, n, set, pos, many): one for each shingle, or with ``many`` the least
+    one of those of a group."""
     for batch in small_parts(batches):
         firsts = batch.column(3)
         sizes = firsts.value_lengths().to_numpy()
@@ -89,31 +114,50 @@ def emit(batches):
         gram, root = gram[order], root[order]
         lead = np.ones(len(order), bool)
         lead[1:] = (gram[1:] != gram[:-1]) | (root[1:] != root[:-1])
-        order = order[lead]
-        columns = [gram[lead], root[lead], n[order], name[order], pos[order].astype(np.int32)]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["gram", "root", *_ITEM])
+        run = np.cumsum(lead) - 1
+        many = (np.bincount(run, minlength=1) > _APART)[run] if len(run) else lead
+        keep = lead | ~many
+        order = order[keep]
+        columns = [gram[keep], root[keep], n[order], name[order], pos[order].astype(np.int32), many[keep]]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["gram", "root", *_ITEM, "many"])
 
 
 def met(similarity: float):
-    """Sorted by gram, root, n and set: the roots of each shingle that has two, with the least set of the first root and
-    that of this one, ``a`` null where they can't have the similarity. Holds one row."""
+    """Sorted by gram, root, n and set: the rows of each shingle that has two roots. The first row of each root but the
+    first one also has in ``a`` the first set, if they can have the similarity. Of a shingle with combined rows, or more
+    than a task holds, only the first row of each root comes, with ``many``."""
+    names, kinds = ["gram", "root", *_ITEM, "many", "a"], [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.bool_(), pa.int64()]
 
     def run(batches):
-        gram = root = held = None
+        gram, held, many, out = None, [], False, []
+
+        def close():
+            if not held or held[0][1] == held[-1][1]:
+                return
+            first, root = held[0], held[0][1]
+            for row in held:
+                new, root = row[1] != root, row[1]
+                if new or not many or row is first:
+                    near = new and can_reach(first[2], first[4], row[2], row[4], similarity)
+                    out.append((*row[:5], many, first[3] if near else None))
+
         for batch in batches:
-            rows = []
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if row[0] != gram:
-                    gram, root, held, shown = row[0], row[1], row, False
-                elif row[1] != root:
-                    root = row[1]
-                    if not shown:
-                        rows.append((gram, held[1], None, held[3]))
-                        shown = True
-                    near = can_reach(held[2], held[4], row[2], row[4], similarity)
-                    rows.append((gram, root, held[3] if near else None, row[3]))
-            columns = list(zip(*rows, strict=True)) if rows else [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["gram", "root", "a", "b"])
+                    close()
+                    gram, held, many = row[0], [row], row[5]
+                elif row[3] != held[-1][3] or row[5] > many:
+                    many |= row[5]
+                    if not many and len(held) >= _HELD:
+                        many = True
+                        held = [x for i, x in enumerate(held) if not i or x[1] != held[i - 1][1]]
+                    if row[3] != held[-1][3] and (not many or row[1] != held[-1][1]):
+                        held.append(row)
+            if len(out) > 20_000:
+                yield _batch(out, names, kinds)
+                out.clear()
+        close()
+        yield _batch(out, names, kinds)
 
     return run
 
@@ -127,7 +171,7 @@ def similar_documents(docs: DataFrame, similarity: float = 0.8, shingle: int = 5
 
     def scan(batches):
         for batch in small_parts(batches):
-            keys, sizes, firsts, prints = [], [], [], []
+            keys, sizes, firsts, prints, counts = [], [], [], [], []
             for text in batch.column(1).cast(pa.binary()).to_pylist():
                 hashes = np.array(shingle_hashes(text, shingle, seed), "<u8")
                 grams = np.unique(hashes)
@@ -135,11 +179,14 @@ def similar_documents(docs: DataFrame, similarity: float = 0.8, shingle: int = 5
                 sizes.append(len(grams))
                 firsts.append(prefix(grams, ranks.value, 64 - _BITS, similarity).view(np.int64))
                 prints.append(majority(hashes))
+                counts.append(counts_of(grams))
             made = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (keys, prints)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *made, pa.array(sizes, pa.int32()), pa.array(firsts, pa.list_(pa.int64()))], names=["doc_id", "text_key", "set", "fp", "n", "firsts"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *made, pa.array(sizes, pa.int32()), pa.array(firsts, pa.list_(pa.int64())), pa.array(counts, pa.binary())], names=["doc_id", "text_key", "set", "fp", "n", "firsts", "counts"])
 
-    rows = materialize(slim.mapInArrow(scan, "doc_id long, text_key long, set long, fp long, n int, firsts array<long>"), "jaccard")
+    rows = materialize(slim.mapInArrow(scan, "doc_id long, text_key long, set long, fp long, n int, firsts array<long>, counts binary"), "jaccard")
     members = rows.select("doc_id", "text_key", "set")
+    sets = rows.groupBy("set").agg(F.min(F.struct("n", "text_key", "doc_id", "counts")).alias("x")).select("set", "x.*")
+    sets = materialize(sets, "jaccard")  # each set with a text that has it
     # equal sets of texts that repeat shingles unequally have prints of their own
     prints = materialize(rows.select("fp", "set").distinct(), "jaccard")
     leads = materialize(prints.groupBy("fp").agg(F.min("set").alias("lead")), "jaccard")
@@ -159,12 +206,23 @@ def similar_documents(docs: DataFrame, similarity: float = 0.8, shingle: int = 5
                 ok.append(both >= similarity * (len(p) + len(q) - both) - 1e-9)
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
+    def bounded(batches):
+        for batch in small_parts(batches, 10_000):
+            if batch.num_rows:
+                x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, 1 << _COUNTS) for i in (4, 5))
+                ok = may_reach(batch.column(2).to_numpy().astype(np.int64), batch.column(3).to_numpy(), x, y, similarity)
+                yield batch.select(["a", "b"]).filter(pa.array(ok))
+
     @tidy
     def linked(pairs: DataFrame) -> DataFrame:
         """The pairs of sets that have the similarity."""
-        pairs = materialize(pairs.where("a <> b").distinct(), "jaccard")
+        side = lambda k: sets.select(F.col("set").alias(k), F.col("n").alias(f"n_{k}"), F.col("counts").alias(f"c_{k}"))
+        pairs = pairs.where("a <> b").distinct().join(side("a"), "a").join(side("b"), "b")
+        pairs = materialize(pairs.select("a", "b", "n_a", "n_b", "c_a", "c_b").mapInArrow(bounded, "a long, b long"), "jaccard")
+        if pairs.isEmpty():
+            return pairs
         ids = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set"))).distinct()
-        wanted = members.join(ids, "set", "left_semi").dropDuplicates(["set"]).select(F.col("doc_id").alias("k_doc"), F.col("text_key").alias("k_text"), "set")
+        wanted = sets.join(ids, "set", "left_semi").select(F.col("doc_id").alias("k_doc"), F.col("text_key").alias("k_text"), "set")
         wanted = broadcast_if_small(materialize(wanted, "jaccard"))
         held = slim.join(wanted, F.col("doc_id").eqNullSafe(F.col("k_doc")) & (F.col("text_key") == F.col("k_text"))).select("set", "text")
         full = materialize(held.mapInArrow(whole, "set long, grams array<long>").dropDuplicates(["set"]), "jaccard")
@@ -174,7 +232,10 @@ def similar_documents(docs: DataFrame, similarity: float = 0.8, shingle: int = 5
     def grouped(links: DataFrame) -> DataFrame:
         return materialize(components(links, "jaccard"), "jaccard")
 
+    # of each print's links the least and the greatest: what they leave apart is completed below
     near = anchor_links(leads, threshold, home_size, anchor_rows, true_links=True)
+    near = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("a").agg(F.array_distinct(F.array(F.min("b"), F.max("b"))).alias("b"))
+    near = near.select("a", F.explode("b").alias("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     a, b = leads.select(F.col("fp").alias("a"), F.col("lead").alias("x")), leads.select(F.col("fp").alias("b"), F.col("lead").alias("y"))
     near = near.join(a, "a").join(b, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
     same = prints.join(leads, "fp").select(F.col("lead").alias("a"), F.col("set").alias("b"))
@@ -182,22 +243,29 @@ def similar_documents(docs: DataFrame, similarity: float = 0.8, shingle: int = 5
     roots = grouped(links)
 
     def emitting(roots: DataFrame) -> DataFrame:
-        """Each set once, with its group."""
-        sets = rows.select("set", "n", "firsts").dropDuplicates(["set"])
-        return sets.join(roots, sets.set == roots.node, "left").select("set", "n", F.coalesce("root", "set").alias("root"), "firsts")
+        """Each text's set with its group; equal rows go where they are sorted."""
+        some = rows.select("set", "n", "firsts").join(broadcast_if_small(roots), F.col("set") == F.col("node"), "left")
+        return some.select("set", "n", F.coalesce("root", "set").alias("root"), "firsts")
 
-    emitted = emitting(roots).mapInArrow(emit, "gram long, root long, n int, set long, pos int").repartition("gram").sortWithinPartitions("gram", "root", *_ITEM[:2])
-    between = materialize(emitted.mapInArrow(met(similarity), "gram long, root long, a long, b long"), "jaccard")
+    emitted = emitting(roots).mapInArrow(emit, "gram long, root long, n int, set long, pos int, many boolean").repartition("gram").sortWithinPartitions("gram", "root", *_ITEM[:2])
+    between = materialize(emitted.mapInArrow(met(similarity), "gram long, root long, n int, set long, pos int, many boolean, a long"), "jaccard")
     release(docs.sparkSession)
-    links = links.unionByName(linked(between.where("a is not null").select("a", "b")))
+    links = links.unionByName(linked(between.where("a is not null").select("a", F.col("set").alias("b"))))
     new = grouped(links)
 
-    named = between.join(new, between.b == new.node, "left").select("gram", F.coalesce(new.root, between.root).alias("root"))
-    open_ = materialize(named.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("gram"), "jaccard")
+    named = between.join(new, between.set == new.node, "left").select("gram", F.coalesce(new.root, between.root).alias("root"), *_ITEM, "many")
+    named = materialize(named, "jaccard")
+    open_ = named.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.bool_or("many").alias("many")).where("low <> high").select("gram", "many")
+    open_ = materialize(open_, "jaccard")
     drop(between)
     if not open_.isEmpty():
-        again = emitting(new).select("set", "n", "root", F.posexplode("firsts").alias("pos", "gram"))
-        again = materialize(again.join(broadcast_if_small(open_), "gram", "left_semi").select("gram", "root", *_ITEM), "jaccard")
+        again = named.join(open_.where("not many"), "gram", "left_semi").select("gram", "root", *_ITEM)
+        hot = materialize(open_.where("many").select("gram"), "jaccard")
+        if not hot.isEmpty():
+            more = emitting(new).select("set", "n", "root", F.posexplode("firsts").alias("pos", "gram"))
+            again = again.unionByName(more.join(broadcast_if_small(hot), "gram", "left_semi").select("gram", "root", *_ITEM).distinct())
+        again = materialize(again, "jaccard")
+        drop(named)
         counts = again.groupBy("gram", "root").agg(F.count("*").alias("c")).groupBy("gram").agg(F.max(F.struct("c", "root")).alias("most"))
         marked = materialize(again.join(counts, "gram").select("gram", "root", *_ITEM, (F.col("root") == F.col("most.root")).alias("main")), "jaccard")
         drop(again)

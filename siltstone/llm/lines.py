@@ -176,6 +176,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 16) -> DataFrame:
     gone = materialize(pairs.join(a, ["h1", "h2"]).join(b, ["o1", "o2"]).where(F.levenshtein("a", "b", 1) >= 0).where(F.length("a") >= min_chars).select("h1", "h2"), "lines-gone")
 
     kept = first.select("h1", "h2", "at").join(gone, ["h1", "h2"], "left_anti").groupBy(F.col("at.doc").alias("doc"), F.col("at.tk").alias("tk")).agg(F.collect_list("at.n").alias("kept"))
+    kept = materialize(kept, "lines-kept")  # all that the result reads of these tables
     joined = boxed.alias("l").join(kept.alias("r"), F.col("l.doc").eqNullSafe(F.col("r.doc")) & (F.col("l.tk") == F.col("r.tk")), "left")
 
     keep = [c for c in cols if c not in ("dedup_lines", "dedup_removed")]

@@ -92,3 +92,31 @@ def test_stage_finds_a_copy_with_a_few_replaced_words(spark):
         rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(["new" if j in (60, 120) else w for j, w in enumerate(words)]))]
     kept = corpus_pipeline.near_duplicate_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF)
     assert sorted(r.doc_id for r in kept.collect()) == list(range(0, 80, 2))
+
+
+def test_hot_shingles_bring_their_rows_again(spark, monkeypatch):
+    """With next to no rows held, every shingle takes the way of hot ones, and the result stays exact."""
+    monkeypatch.setattr(jaccard, "_HELD", 1)
+    monkeypatch.setattr(jaccard, "_APART", 1)
+    rng = random.Random(5)
+    shared = [f"s{i}" for i in range(80)]
+    texts = [" ".join([*shared, *(f"w{rng.randrange(50)}" for _ in range(rng.randint(2, 20)))]) for _ in range(60)]
+    texts += texts[:5]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    groups = lambda pairs: sorted(sorted(d for d, r in pairs if r == root) for root in {r for _, r in pairs})
+    got = groups([(r.doc_id, r.root) for r in jaccard.similar_documents(docs, threshold=0).collect()])
+    assert got == groups(list(enumerate(brute_jaccard(texts, 0.8)))) and len(got) < len(texts) - 9
+
+
+def test_counts_bound_the_overlap():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    for n, m in ((50, 50), (300, 280), (60_000, 59_000)):
+        x = np.unique(rng.integers(0, 1 << 64, n, dtype=np.uint64))
+        y = np.unique(np.concatenate([x[: int(0.92 * len(x))], rng.integers(0, 1 << 64, m - int(0.92 * len(x)), dtype=np.uint64)]))
+        z = np.unique(rng.integers(0, 1 << 64, m, dtype=np.uint64))
+        c = [np.frombuffer(jaccard.counts_of(v), np.uint8)[None] for v in (x, y, z)]
+        both = len(np.intersect1d(x, y))
+        assert both >= 0.8 * (len(x) + len(y) - both) and jaccard.may_reach(np.array([len(x)]), np.array([len(y)]), c[0], c[1], 0.8).all()
+        assert n > 1000 or not jaccard.may_reach(np.array([len(x)]), np.array([len(z)]), c[0], c[2], 0.8).any()
