@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from .plans import dedup, formats, mixing, serving, stats, text
+from .plans import agents, dedup, formats, mixing, serving, stats, text
 from .registry import ORACLES, QUERIES
 
 FLAGSHIP = dedup.line_dedup
-__all__ = ["FLAGSHIP", "ORACLES", "QUERIES", "dedup", "formats", "mixing", "serving", "stats", "text"]
+__all__ = ["FLAGSHIP", "ORACLES", "QUERIES", "agents", "dedup", "formats", "mixing", "serving", "stats", "text"]
