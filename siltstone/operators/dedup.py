@@ -7,6 +7,7 @@ aggregate, and near-duplicate pairs are made between representatives of equal fi
 from __future__ import annotations
 
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,10 +50,14 @@ def simhash(docs: DataFrame, text: str = "text", key: str = "doc_id", n: int = 5
     return votes.select(key, reduce(lambda a, b: a.bitwiseOR(b), bits).alias("fingerprint"))
 
 
-def bands(threshold: int) -> list[tuple[int, int]]:
-    """(first bit, length) of threshold + 1 bands; prints within the threshold agree on one at least."""
-    edges = [64 * i // (threshold + 1) for i in range(threshold + 2)]
-    return [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
+def block_keys(fingerprint: Column, threshold: int, spare: int = 3) -> Column:
+    """Array of keys, one for each choice of ``spare`` of threshold + spare blocks: prints within the threshold differ in
+    ``threshold`` blocks at most, so they agree on one choice at least. A key holds spare / (threshold + spare) of the 64
+    bits, 27 for a threshold of 4, so unequal prints seldom meet."""
+    m = threshold + spare
+    edges = [64 * i // m for i in range(m + 1)]
+    part = [F.shiftrightunsigned(fingerprint, a).bitwiseAND(F.lit((1 << (b - a)) - 1).cast("long")) for a, b in zip(edges, edges[1:], strict=False)]
+    return F.array(*[F.xxhash64(F.lit(i), *[part[j] for j in some]) for i, some in enumerate(combinations(range(m), spare))])
 
 
 def near_pairs(prints: DataFrame, threshold: int = 4, key: str = "doc_id") -> DataFrame:
@@ -61,11 +66,10 @@ def near_pairs(prints: DataFrame, threshold: int = 4, key: str = "doc_id") -> Da
     Membership of the rest is ``prints`` itself: equal fingerprints are one class.
     """
     reps = prints.groupBy("fingerprint").agg(F.min(key).alias("rep"))
-    parts = F.array(*[F.struct(F.lit(i).alias("band"), F.shiftrightunsigned("fingerprint", a).bitwiseAND(F.lit((1 << n) - 1).cast("long")).alias("value")) for i, (a, n) in enumerate(bands(threshold))])
-    keyed = reps.select("rep", "fingerprint", F.explode(parts).alias("k")).select("rep", "fingerprint", "k.band", "k.value")
+    keyed = reps.select("rep", "fingerprint", F.explode(block_keys(F.col("fingerprint"), threshold)).alias("k"))
     left, right = keyed.alias("l"), keyed.alias("r")
     distance = F.bit_count(F.col("l.fingerprint").bitwiseXOR(F.col("r.fingerprint")))
-    pairs = left.join(right, (F.col("l.band") == F.col("r.band")) & (F.col("l.value") == F.col("r.value")) & (F.col("l.rep") < F.col("r.rep")) & (distance <= threshold))
+    pairs = left.join(right, (F.col("l.k") == F.col("r.k")) & (F.col("l.rep") < F.col("r.rep")) & (distance <= threshold))
     return pairs.select(F.col("l.rep").alias("a"), F.col("r.rep").alias("b"), distance.alias("distance")).distinct()
 
 

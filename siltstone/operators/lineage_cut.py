@@ -12,7 +12,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
     sc = df.sparkSession.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None and not sc.master.startswith("local"):
+        if folder is None and not sc.master.startswith("local[") and sc.master != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="siltstone-"))
     return df.checkpoint()

@@ -1,13 +1,13 @@
 """Packing of whole episodes into blocks, and what belongs to it: windows, positions, masks.
 
-Sequential packers keep an order, so they run where the order is: rows are range-partitioned, each task packs its own
-stretch as a stream, and blocks are numbered within it. A task holds its open blocks only.
+Sequential packers keep an order, so each packs ``parts`` streams by itself: rows go to the part of their id modulo
+``parts``, each part is packed in order of id, and blocks are numbered within it. The result depends on ``parts`` alone, not
+on the cluster; one part is the plain sequential packing. A task holds its open blocks only.
 """
 
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,20 +20,23 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=_NAMES)
 
 
-def _part() -> int:
-    task = TaskContext.get()
-    return task.partitionId() if task else 0
+def _streams(rows: DataFrame, parts: int) -> DataFrame:
+    """(part, id, tokens), each part's rows together and in order of id."""
+    slim = rows.select(F.pmod(F.col("id"), F.lit(parts)).cast("long").alias("part"), "id", F.col("tokens").cast("long").alias("tokens"))
+    return slim.repartition("part").sortWithinPartitions("part", "id")
 
 
-def next_fit(episodes: DataFrame, size: int, segments: int = 255) -> DataFrame:
+def next_fit(episodes: DataFrame, size: int, segments: int = 255, parts: int = 64) -> DataFrame:
     """Episodes (id, tokens) in order of id; one that no longer fits, or a full count of segments, opens a new block.
     An episode over the block keeps ``size`` tokens."""
 
     def run(batches):
-        part, block, used, segment = _part(), 0, 0, 0
+        part, block, used, segment = None, 0, 0, 0
         for batch in batches:
             rows = []
-            for key, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for p, key, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if p != part:
+                    part, block, used, segment = p, 0, 0, 0
                 n = min(n, size)
                 if used + n > size or segment >= segments:
                     block, used, segment = block + (segment > 0), 0, 0
@@ -42,18 +45,21 @@ def next_fit(episodes: DataFrame, size: int, segments: int = 255) -> DataFrame:
                 used += n
             yield _batch(rows)
 
-    return episodes.select("id", F.col("tokens").cast("long")).repartitionByRange("id").sortWithinPartitions("id").mapInArrow(run, SCHEMA)
+    return _streams(episodes, parts).mapInArrow(run, SCHEMA)
 
 
-def best_fit(episodes: DataFrame, size: int, segments: int = 255, open_blocks: int = 256) -> DataFrame:
+def best_fit(episodes: DataFrame, size: int, segments: int = 255, open_blocks: int = 256, parts: int = 64) -> DataFrame:
     """Episodes in order of id, each into the open block it leaves least room in; past ``open_blocks`` the fullest closes."""
 
     def run(batches):
-        part, made = _part(), 0
+        part, made = None, 0
         blocks: dict[int, list[int]] = {}
         for batch in batches:
             rows = []
-            for key, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for p, key, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if p != part:
+                    part, made = p, 0
+                    blocks.clear()
                 n = min(n, size)
                 if not n:
                     continue
@@ -71,7 +77,7 @@ def best_fit(episodes: DataFrame, size: int, segments: int = 255, open_blocks: i
                     del blocks[max(blocks, key=lambda b: blocks[b][0])]
             yield _batch(rows)
 
-    return episodes.select("id", F.col("tokens").cast("long")).repartitionByRange("id").sortWithinPartitions("id").mapInArrow(run, SCHEMA)
+    return _streams(episodes, parts).mapInArrow(run, SCHEMA)
 
 
 def packing_stats(packed: DataFrame, size: int) -> DataFrame:
@@ -90,12 +96,12 @@ def xy_windows(ids: Column, block: int, pad: int) -> Column:
     return F.transform(F.array(full), lambda s: F.struct(F.slice(s, 1, block).alias("x"), F.slice(s, 2, block).alias("y")))[0]
 
 
-def mega_episodes(documents: DataFrame, size: int, least: int = 65, fill: float = 0.75) -> DataFrame:
+def mega_episodes(documents: DataFrame, size: int, least: int = 65, fill: float = 0.75, parts: int = 64) -> DataFrame:
     """Short documents in order (id, tokens) joined until the next no longer fits; kept if filled to ``fill``. Documents
     under ``least`` tokens are dropped, those of a whole block or more are cut to one and stand alone."""
 
     def run(batches):
-        part, block, held, used = _part(), 0, [], 0
+        part, block, held, used = None, 0, [], 0
 
         def close():
             nonlocal block, used
@@ -112,7 +118,10 @@ def mega_episodes(documents: DataFrame, size: int, least: int = 65, fill: float
 
         for batch in batches:
             rows = []
-            for key, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for p, key, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if p != part:
+                    rows += close()
+                    part, block = p, 0
                 if n < least:
                     continue
                 if n >= size or used + n > size:
@@ -126,4 +135,4 @@ def mega_episodes(documents: DataFrame, size: int, least: int = 65, fill: float
             yield _batch(rows)
         yield _batch(close())
 
-    return documents.select("id", F.col("tokens").cast("long")).repartitionByRange("id").sortWithinPartitions("id").mapInArrow(run, SCHEMA)
+    return _streams(documents, parts).mapInArrow(run, SCHEMA)

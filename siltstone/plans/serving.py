@@ -30,13 +30,14 @@ p AS (SELECT doc_id, i, cs[i] AS ch FROM (SELECT doc_id, cs, unnest(range(1, len
 SELECT doc_id, md5(string_agg(v.id::VARCHAR, ' ' ORDER BY i)) AS ids_md5, count(*) AS n FROM p JOIN v ON p.ch = v.ch GROUP BY doc_id"""
 )
 def char_encode(spark, sf_dir):
-    """Character ids of every text. The vocabulary is bounded by the number of characters that exist, so it is a literal."""
+    """Character ids of every text, looked up where the text lies. The vocabulary is bounded by the number of characters
+    that exist, so it is a literal."""
     vocab = char_vocab(spark, sf_dir).collect()
-    ids = F.create_map(*[x for r in vocab for x in (F.lit(r.ch), F.lit(r.id))]) if len(vocab) < 50 else None
-    d = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "")).alias("i", "ch")).where("ch <> ''")
-    coded = d.withColumn("id", ids[F.col("ch")]) if ids is not None else d.join(F.broadcast(spark.createDataFrame(vocab, "id long, ch string")), "ch")
-    out = coded.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("i", "id"))).alias("x"), F.count("*").alias("n"))
-    return out.select("doc_id", F.md5(F.array_join(F.transform("x", lambda e: e["id"].cast("string")), " ")).alias("ids_md5"), "n")
+    if not vocab:
+        return spark.createDataFrame([], "doc_id long, ids_md5 string, n long")
+    ids = F.map_from_arrays(F.lit([r.ch for r in vocab]), F.lit([r.id for r in vocab]))
+    d = table(spark, sf_dir, "documents").where("text <> ''").select("doc_id", F.transform(F.split("text", ""), lambda c: F.element_at(ids, c)).alias("ids"))
+    return d.select("doc_id", F.md5(F.array_join(F.transform("ids", lambda i: i.cast("string")), " ")).alias("ids_md5"), F.size("ids").cast("long").alias("n"))
 
 
 @query(f"SELECT doc_id, floor(length(text) / 4)::BIGINT AS by_chars, floor(len({_sql_words('text')}) / 0.75)::BIGINT AS by_words FROM documents")
@@ -60,21 +61,29 @@ def _episodes(spark, sf_dir):
     return table(spark, sf_dir, "conversations").groupBy(F.col("conv_id").alias("id")).agg(F.sum(n + 2).alias("tokens"))
 
 
-@query()
+_NEW = "r.\"offset\" + r.tokens + e.n > 1024 OR r.segment >= 255"
+
+
+@query(
+    f"""WITH RECURSIVE t AS (SELECT conv_id AS id, conv_id % 4 AS part, least(sum(len({_sql_words('text')}) + 2), 1024)::BIGINT AS n FROM conversations GROUP BY conv_id), e AS (SELECT *, row_number() OVER (PARTITION BY part ORDER BY id) AS rn FROM t),
+r AS (SELECT part, rn, id, 0::BIGINT AS block, 1::BIGINT AS segment, 0::BIGINT AS "offset", n AS tokens FROM e WHERE rn = 1 UNION ALL
+ SELECT e.part, e.rn, e.id, CASE WHEN {_NEW} THEN r.block + 1 ELSE r.block END, CASE WHEN {_NEW} THEN 1 ELSE r.segment + 1 END, CASE WHEN {_NEW} THEN 0 ELSE r."offset" + r.tokens END, e.n FROM r JOIN e ON e.part = r.part AND e.rn = r.rn + 1)
+SELECT part, block, id, segment, "offset", tokens FROM r"""
+)
 def next_fit_pack(spark, sf_dir):
-    return P.next_fit(_episodes(spark, sf_dir), 1024)
+    return P.next_fit(_episodes(spark, sf_dir), 1024, parts=4)
 
 
 @query()
 def best_fit_pack(spark, sf_dir):
-    return P.best_fit(_episodes(spark, sf_dir), 1024)
+    return P.best_fit(_episodes(spark, sf_dir), 1024, parts=4)
 
 
 @query()
 def mega_episodes(spark, sf_dir):
     """Documents joined in order to blocks of 4,096 words."""
     n = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), T.word_count(F.col("text")).alias("tokens"))
-    return P.mega_episodes(n, 4096)
+    return P.mega_episodes(n, 4096, parts=4)
 
 
 @query()

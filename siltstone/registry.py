@@ -46,16 +46,14 @@ def ship(spark: SparkSession) -> None:
     sc.addPyFile(archive)
 
 
-#: Tables whose rows are whole texts, so that reading them is cheap beside what follows.
-_TEXTS = frozenset({"documents", "pages"})
+#: Tables of whole texts, and the setting for how many partitions to deal them out to when they are read. It is for single
+#: machines with one small file; without it tables are read as they lie.
+_TEXTS, READ_PARTITIONS = frozenset({"documents", "pages"}), "spark.siltstone.readPartitions"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of a folder. One of texts that is read in no more tasks than there are cores, as a small file with a single
-    row group is, is dealt out to all of them; a larger table is read as it lies."""
+    """A table of a folder."""
     ship(spark)
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in _TEXTS and 1 < cores and df._jdf.rdd().getNumPartitions() <= cores:
-        return df.repartition(cores)
-    return df
+    parts = spark.conf.get(READ_PARTITIONS, None)
+    return df.repartition(int(parts)) if parts and name in _TEXTS else df

@@ -20,7 +20,7 @@ def text_shards(docs: DataFrame, path: str, order: str = "doc_id", per_shard: in
     """Documents between marks in text files, one folder per shard; returns the manifest (source, path, sha256, bytes)."""
     body = F.concat(F.lit("==== DOC START ====\nSOURCE: "), "source", F.lit(" | PATH: "), F.col(order).cast("string"), F.lit("\n====\n"), "text", F.lit("\n==== DOC END ====\n"))
     shards = with_shard(docs.withColumn("__t", body), order, F.octet_length("__t"), per_shard)
-    shards.select("shard", F.col("__t").alias("value")).repartition("shard").write.partitionBy("shard").text(path)
+    shards.repartition("shard").sortWithinPartitions("shard", order).select("shard", F.col("__t").alias("value")).write.partitionBy("shard").text(path)
     return docs.select("source", F.col(order).cast("string").alias("path"), F.sha2("text", 256).alias("sha256"), F.octet_length("text").alias("bytes"))
 
 

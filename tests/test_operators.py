@@ -67,7 +67,7 @@ def test_samples(spark):
 
 def test_packers(spark):
     df = spark.createDataFrame([(i, n) for i, n in enumerate([5, 4, 3, 20, 6, 0, 10])], "id long, tokens long").coalesce(1)
-    for packed in (packing.next_fit(df, 10), packing.best_fit(df, 10)):
+    for packed in (packing.next_fit(df, 10, parts=3), packing.best_fit(df, 10, parts=1)):
         rows = packed.collect()
         blocks = {}
         for r in rows:
@@ -75,7 +75,7 @@ def test_packers(spark):
         assert all(sum(r.tokens for r in b) <= 10 for b in blocks.values())
         assert {r.id: r.tokens for r in rows if r.tokens} == {0: 5, 1: 4, 2: 3, 3: 10, 4: 6, 6: 10}
     tiny = spark.range(600).withColumn("tokens", F.lit(1)).coalesce(1)
-    assert packing.next_fit(tiny, 4096).groupBy("part", "block").count().agg(F.max("count")).first()[0] == 255
+    assert packing.next_fit(tiny, 4096, parts=1).groupBy("part", "block").count().agg(F.max("count")).first()[0] == 255
 
 
 def test_chunks_and_embedding(spark):
@@ -217,7 +217,7 @@ def test_streams(spark, tmp_path):
 def test_mega_episodes(spark):
     df = spark.createDataFrame(list(enumerate([70, 10, 20, 90, 250, 80, 5])), "id long, tokens long").coalesce(1)
     got = {}
-    for r in packing.mega_episodes(df, 100, 15, 0.75).collect():
+    for r in packing.mega_episodes(df, 100, 15, 0.75, parts=1).collect():
         got.setdefault(r.block, []).append((r.id, r.offset, r.tokens))
     assert sorted(map(sorted, got.values())) == [[(0, 0, 70), (2, 70, 20)], [(3, 0, 90)], [(4, 0, 100)], [(5, 0, 80)]]
 
