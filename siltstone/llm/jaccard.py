@@ -12,7 +12,8 @@ A document is its set of XXH64 values over five-word shingles (words as in simha
    the least of each group.
 3. Of shingles that still join different groups, all pairs of sets in different groups that can reach s by their sizes
    and places are verified; rows of a shingle's largest group meet only other groups. Shingles with rows combined, or too
-   many to hold, bring their rows again for this.
+   many to hold, bring their rows again for this. A shingle's rows are compared where they lie, in blocks of a square if
+   one task can't hold them, so that a pair to be ruled out never becomes a row.
 
 Before a pair's whole sets are fetched, the counts of their shingles by the first bits give an upper bound of the
 similarity; only pairs that it leaves are verified.
@@ -162,6 +163,85 @@ def met(similarity: float):
     return run
 
 
+def cells():
+    """Column: the cells of a shingle's square of ``nb`` blocks by ``nb`` that a row goes to, with its role there: 0 both
+    sides (one block), 1 left, 2 right. Rows of the main group are on no left side."""
+    at, every = F.pmod(F.hash("set"), "nb"), F.sequence(F.lit(0), F.col("nb") - 1)
+    cell = lambda h, v, role: F.struct(h.alias("h"), v.alias("v"), F.lit(role).alias("role"))
+    left, right = F.transform(every, lambda v: cell(at, v, 1)), F.transform(every, lambda h: cell(h, at, 2))
+    return F.when(F.col("nb") == 1, F.array(cell(F.lit(0), F.lit(0), 0))).when(F.col("main"), right).otherwise(F.concat(left, right))
+
+
+def _cells_of(batches):
+    """Tables of whole cells from a sorted stream."""
+    held = []
+    for batch in batches:
+        held.append(batch)
+        key = [batch.column(k).to_numpy() for k in ("gram", "h", "v")]
+        last = np.logical_and.reduce([k == k[-1] for k in key]) if batch.num_rows else np.ones(0, bool)
+        cut = int(np.argmin(last[::-1])) if not last.all() else 0
+        if cut:
+            done = pa.Table.from_batches([*held[:-1], batch.slice(0, batch.num_rows - cut)])
+            tail, held = batch.slice(batch.num_rows - cut), []
+            if done.num_rows:
+                yield done
+            held = [tail]
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _able_pairs(t: pa.Table, similarity: float, most: int = 1_000_000):
+    """Rows (i, j) of whole cells that can have the similarity by size and place: different groups, each pair once."""
+    gram, h, v, role, root, n, name, pos = (t.column(k).to_numpy() for k in ("gram", "h", "v", "role", "root", *_ITEM))
+    main = t.column("main").to_numpy()
+    new = np.ones(len(gram), bool)
+    new[1:] = (gram[1:] != gram[:-1]) | (h[1:] != h[:-1]) | (v[1:] != v[:-1])
+    start = np.flatnonzero(new)
+    size = np.diff(np.append(start, len(gram)))
+    cell = np.cumsum(new) - 1
+    left = np.flatnonzero((role != 2) & ~main & (size[cell] > 1))
+    ends = np.cumsum(size[cell[left]])
+    at = 0
+    while at < len(left):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, "right")))
+        i = left[at:to]
+        many = size[cell[i]]
+        j = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many - start[cell[i]], many)
+        i = np.repeat(i, many)
+        near = (np.minimum(n[i], n[j]) >= np.maximum(n[i], n[j]) * similarity - 1e-6) & ((pos[i].astype(np.int64) + pos[j]) * (1 + similarity) <= (n[i].astype(np.int64) + n[j]) * (1 - similarity) + 1e-6)
+        once = main[j] | (n[j] < n[i]) | ((n[j] == n[i]) & (name[j] < name[i]))
+        ok = near & once & (role[j] != 1) & (root[i] != root[j])
+        yield i[ok], j[ok]
+        at = to
+
+
+def partnered(similarity: float):
+    """Of the rows of each cell, those with a partner."""
+
+    def run(batches):
+        for t in _cells_of(batches):
+            keep = np.zeros(t.num_rows, bool)
+            for i, j in _able_pairs(t, similarity):
+                keep[i] = keep[j] = True
+            yield from t.filter(pa.array(keep)).combine_chunks().to_batches()
+
+    return run
+
+
+def bounded_pairs(similarity: float):
+    """Pairs of sets of each cell that the bound by counts leaves."""
+
+    def run(batches):
+        for t in _cells_of(batches):
+            name, n = t.column("set").to_numpy(), t.column("n").to_numpy().astype(np.int64)
+            counts = np.frombuffer(b"".join(t.column("counts").to_pylist()), np.uint8).reshape(-1, 1 << _COUNTS)
+            for i, j in _able_pairs(t, similarity, 100_000):
+                ok = may_reach(n[i], n[j], counts[i], counts[j], similarity)
+                yield pa.RecordBatch.from_arrays([pa.array(name[i[ok]]), pa.array(name[j[ok]])], names=["a", "b"])
+
+    return run
+
+
 @tidy
 def similar_documents(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, seed: int = 42, threshold: int = 3, home_size: int = 128, anchor_rows: int = 100_000, sample_docs: int = 100_000) -> DataFrame:
     """doc_id, text_key (xxhash64 of the text) and root, which names the component over all pairs of ``similarity``."""
@@ -218,7 +298,11 @@ def similar_documents(docs: DataFrame, similarity: float = 0.8, shingle: int = 5
         """The pairs of sets that have the similarity."""
         side = lambda k: sets.select(F.col("set").alias(k), F.col("n").alias(f"n_{k}"), F.col("counts").alias(f"c_{k}"))
         pairs = pairs.where("a <> b").distinct().join(side("a"), "a").join(side("b"), "b")
-        pairs = materialize(pairs.select("a", "b", "n_a", "n_b", "c_a", "c_b").mapInArrow(bounded, "a long, b long"), "jaccard")
+        return verified(materialize(pairs.select("a", "b", "n_a", "n_b", "c_a", "c_b").mapInArrow(bounded, "a long, b long"), "jaccard"))
+
+    @tidy
+    def verified(pairs: DataFrame) -> DataFrame:
+        """The same, of pairs that the bound leaves."""
         if pairs.isEmpty():
             return pairs
         ids = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set"))).distinct()
@@ -266,15 +350,16 @@ def similar_documents(docs: DataFrame, similarity: float = 0.8, shingle: int = 5
             again = again.unionByName(more.join(broadcast_if_small(hot), "gram", "left_semi").select("gram", "root", *_ITEM).distinct())
         again = materialize(again, "jaccard")
         drop(named)
-        counts = again.groupBy("gram", "root").agg(F.count("*").alias("c")).groupBy("gram").agg(F.max(F.struct("c", "root")).alias("most"))
-        marked = materialize(again.join(counts, "gram").select("gram", "root", *_ITEM, (F.col("root") == F.col("most.root")).alias("main")), "jaccard")
+        counts = again.groupBy("gram", "root").agg(F.count("*").alias("c"))
+        counts = counts.groupBy("gram").agg(F.max(F.struct("c", "root")).alias("most"), F.ceil(F.sum("c") / _HELD).cast("int").alias("nb"))
+        marked = again.join(counts, "gram").select("gram", "root", *_ITEM, (F.col("root") == F.col("most.root")).alias("main"), "nb")
+        dealt = marked.select("gram", "root", *_ITEM, "main", F.explode(cells()).alias("cell")).select("gram", "cell.*", "root", *_ITEM, "main")
+        kinds = "gram long, h int, v int, role int, root long, n int, set long, pos int, main boolean"
+        sort = lambda df: df.repartition("gram", "h", "v").sortWithinPartitions("gram", "h", "v")
+        able = materialize(sort(dealt).mapInArrow(partnered(similarity), kinds), "jaccard")
         drop(again)
-        # each pair of groups once: a row outside its shingle's main group meets that group, and lesser sets outside it
-        l, r = F.col("l"), F.col("r")
-        side = lambda df, name: df.select(F.struct("gram", "root", *_ITEM, "main").alias(name))
-        once = r["main"] | (F.struct(r["n"], r["set"]) < F.struct(l["n"], l["set"]))
-        reach = (F.least(l["n"], r["n"]) >= F.greatest(l["n"], r["n"]) * F.lit(similarity) - 1e-6) & ((l["pos"] + r["pos"]) * F.lit(1 + similarity) <= (l["n"] + r["n"]) * F.lit(1 - similarity) + 1e-6)
-        pairs = side(marked.where("not main"), "l").join(side(marked, "r"), (l["gram"] == r["gram"]) & (l["root"] != r["root"]) & once & reach)
-        links = links.unionByName(linked(pairs.select(l["set"].alias("a"), r["set"].alias("b"))))
+        able = able.join(sets.select("set", "counts"), "set").select("gram", "h", "v", "role", "root", *_ITEM, "main", "counts")
+        pairs = sort(able).mapInArrow(bounded_pairs(similarity), "a long, b long")
+        links = links.unionByName(verified(materialize(pairs.distinct(), "jaccard")))
         new = components(links, "jaccard")
     return members.join(new, members.set == new.node, "left").select("doc_id", "text_key", F.coalesce("root", "set").alias("root"))

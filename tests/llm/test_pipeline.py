@@ -4,6 +4,7 @@ import random
 
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 from siltstone.llm import jaccard
 from siltstone.llm.common import materialize
 from test_dedup import brute_lines
@@ -120,3 +121,21 @@ def test_counts_bound_the_overlap():
         both = len(np.intersect1d(x, y))
         assert both >= 0.8 * (len(x) + len(y) - both) and jaccard.may_reach(np.array([len(x)]), np.array([len(y)]), c[0], c[1], 0.8).all()
         assert n > 1000 or not jaccard.may_reach(np.array([len(x)]), np.array([len(z)]), c[0], c[2], 0.8).any()
+
+
+@pytest.mark.parametrize("blocks", [1, 3])
+def test_rows_of_a_shingle_meet_in_blocks(spark, blocks):
+    """Each able pair of different groups comes from one cell, however the stream is cut into batches."""
+    rng = random.Random(blocks)
+    marked = [(g, rng.randint(1, 4), rng.randint(20, 30), 100 * g + i, rng.randint(0, 4)) for g in range(12) for i in range(rng.choice([1, 2, 9, 30]))]
+    most = {g: max(range(1, 5), key=lambda r: sum(x[0] == g and x[1] == r for x in marked)) for g in range(12)}
+    table = spark.createDataFrame([(*x, x[1] == most[x[0]], blocks) for x in marked], "gram long, root long, n int, set long, pos int, main boolean, nb int")
+    dealt = table.select("gram", F.explode(jaccard.cells()).alias("c"), "root", "n", "set", "pos", "main").select("gram", "c.*", "root", "n", "set", "pos", "main")
+    dealt = dealt.orderBy("gram", "h", "v").toArrow()
+    got = []
+    for t in jaccard._cells_of(dealt.to_batches(max_chunksize=7)):
+        for i, j in jaccard._able_pairs(t, 0.8, most=50):
+            name = t.column("set").to_numpy()
+            got += [frozenset(p) for p in zip(name[i].tolist(), name[j].tolist())]
+    want = [frozenset((x[3], y[3])) for x in marked for y in marked if x[0] == y[0] and x[3] < y[3] and x[1] != y[1] and jaccard.can_reach(x[2], x[4], y[2], y[4], 0.8)]
+    assert sorted(map(sorted, got)) == sorted(map(sorted, want)) and want
