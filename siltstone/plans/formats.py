@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import convert
-from ..operators import parsers
+from ..operators import parsers, shards
 from ..registry import query, table
 
 
@@ -32,3 +32,16 @@ def generate_episodes(spark, sf_dir):
     templates = [("Where is {x}?", "I don't know."), ("Repeat: {x}", "{x}"), ("Quote {x}.", '"{x}"')]
     out = parsers.generate(table(spark, sf_dir, "nation").select("n_name"), "n_name", templates, 2, 1)
     return out.select("n_name", "template", F.get("messages", 0)["content"].alias("question"))
+
+
+@query(
+    """WITH RECURSIVE e AS (SELECT doc_id, coalesce(len(string_split(text, ' ')), 0)::BIGINT AS n, doc_id % 4 AS part, row_number() OVER (PARTITION BY doc_id % 4 ORDER BY doc_id) AS i FROM documents),
+f AS (SELECT part, i, doc_id, n, 0::BIGINT AS block, 0::BIGINT AS start FROM e WHERE i = 1
+UNION ALL SELECT e.part, e.i, e.doc_id, e.n, CASE WHEN f.start + f.n + e.n > 20000 THEN f.block + 1 ELSE f.block END, CASE WHEN f.start + f.n + e.n > 20000 THEN 0 ELSE f.start + f.n END FROM f JOIN e ON e.part = f.part AND e.i = f.i + 1),
+p AS (SELECT part, coalesce(sum(max(block) + 1) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS first FROM f GROUP BY part)
+SELECT (first + block)::BIGINT AS shard, doc_id, start, n AS tokens FROM f JOIN p ON f.part = p.part"""
+)
+def episode_shard_plan(spark, sf_dir):
+    """The shard and place of each document, an episode of its blank-separated pieces, in four streams."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", " "))).alias("tokens"))
+    return shards.shard_plan(docs, 20_000, parts=4).select("shard", F.col("id").alias("doc_id"), "start", "tokens")

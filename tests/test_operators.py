@@ -259,3 +259,29 @@ def test_groups_and_gates(spark):
     assert row.asDict() == {"user": "ctx", "ip": "9", "x": "1"}
     ranked = ordered.rank_within(df, ["g"], ["o"])
     assert {(r.g, r.o): (r["rank"], r.size) for r in ranked.collect()} == {("a", 1): (0, 3), ("a", 2): (1, 3), ("a", 3): (2, 3), ("b", 5): (0, 1)}
+
+
+def test_episode_shards_round_trip(spark, tmp_path):
+    """Whole episodes come back from the files in order of id, across shards; an overlong one has a shard of its own."""
+    import random
+
+    from siltstone.operators import shards
+    from siltstone.sources import readers
+
+    rng = random.Random(3)
+    rows = [(i, [rng.randint(0, 60_000) for _ in range(n)], [rng.choice([0.0, 0.5, 1.0]) for _ in range(n)]) for i, n in enumerate([5, 0, 7, 40, 3, 9, 9, 2, 10, 1])]
+    made = spark.createDataFrame(rows, "id long, tokens array<int>, mask array<double>")
+    manifest = sorted(map(tuple, shards.write_episode_shards(made, str(tmp_path / "a"), 10, parts=1).collect()))
+    want, used = [[]], 0
+    for row in rows:
+        if want[-1] and used + len(row[1]) > 10:
+            want.append([])
+            used = 0
+        want[-1].append(row)
+        used += len(row[1])
+    assert manifest == [(i, len(x), sum(len(r[1]) for r in x)) for i, x in enumerate(want)]
+    for i, x in enumerate(want):
+        got = readers.episode_shards(spark, str(tmp_path / "a" / f"shard_{i:05d}")).orderBy("episode").collect()
+        assert [(r.tokens, r.mask) for r in got] == [(t, [int(w > 0) for w in m]) for _, t, m in x]
+    assert not [f for f in (tmp_path / "a").iterdir() if f.name.startswith(".")]
+    assert shards.write_episode_shards(made.limit(0), str(tmp_path / "b"), 10).count() == 0
