@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import convert
+from ..functions import bpe, convert
 from ..operators import parsers, shards
 from ..registry import query, table
 
@@ -45,3 +45,14 @@ def episode_shard_plan(spark, sf_dir):
     """The shard and place of each document, an episode of its blank-separated pieces, in four streams."""
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", " "))).alias("tokens"))
     return shards.shard_plan(docs, 20_000, parts=4).select("shard", F.col("id").alias("doc_id"), "start", "tokens")
+
+
+@query("SELECT doc_id, coalesce(text, '') || '<|end|><|endless|>x<unk_tok_60000>' AS decoded FROM documents")
+def bpe_round_trip(spark, sf_dir):
+    """Whole texts with two special tokens through encoding, an id beyond the vocabulary added, and decoding."""
+    from public_tokenizers import path
+
+    args = path("byte_bpe_50k.json"), {"<|end|>": 50_257, "<|endless|>": 50_258}
+    marked = F.concat(F.coalesce("text", F.lit("")), F.lit("<|end|><|endless|>x"))
+    ids = table(spark, sf_dir, "documents").select("doc_id", F.concat(bpe.encoder(*args)(marked), F.array(F.lit(60_000))).alias("ids"))
+    return ids.select("doc_id", bpe.decoder(*args)("ids").alias("decoded"))

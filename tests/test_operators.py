@@ -285,3 +285,18 @@ def test_episode_shards_round_trip(spark, tmp_path):
         assert [(r.tokens, r.mask) for r in got] == [(t, [int(w > 0) for w in m]) for _, t, m in x]
     assert not [f for f in (tmp_path / "a").iterdir() if f.name.startswith(".")]
     assert shards.write_episode_shards(made.limit(0), str(tmp_path / "b"), 10).count() == 0
+
+
+def test_bpe_special_tokens(spark):
+    """Pinned ids, the longest special token first, nulls, and ids beyond the vocabulary."""
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    from siltstone.functions import bpe
+    from tokenizers import Tokenizer
+
+    path, specials = public_tokenizers.path("byte_bpe_50k.json"), {"<a>": 50_300, "<a><b>": 50_301}
+    plain = lambda t: Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids
+    df = spark.createDataFrame([(0, "one<a><b>two <a>"), (1, None), (2, ""), (3, "ça va\n  été")], "id long, text string")
+    got = {r.id: r.ids for r in df.select("id", bpe.encoder(path, specials)("text").alias("ids")).collect()}
+    assert got == {0: [*plain("one"), 50_301, *plain("two "), 50_300], 1: None, 2: [], 3: plain("ça va\n  été")}
+    back = spark.createDataFrame([(0, [*plain("ab"), 50_300, 70_000, *plain("c")]), (1, None), (2, [])], "id long, ids array<int>")
+    assert {r.id: r.t for r in back.select("id", bpe.decoder(path, specials)("ids").alias("t")).collect()} == {0: "ab<a><unk_tok_70000>c", 1: None, 2: ""}
