@@ -4,12 +4,15 @@ A line goes if an earlier line of the corpus (by doc_id, then text, then place)
 inserted, deleted or replaced. Equal lines are found by their 128-bit hash. For the rest, a line's deletion
 neighbourhood is itself and every string with one character left out; two lines are within one edit exactly if one is in
 the other's neighbourhood or both give the same string by leaving out the same place. These keys are joined, the pairs
-verified by edit distance, and the earliest kept.
+verified on their texts (within one edit: equal without the places left out), and the earliest kept.
 
 Not every line needs its whole neighbourhood: in four parts measured from both ends, one edit leaves three intact, so
 each line first emits four keys, each the hash of all but one part, and only lines that share such a key emit the
 deletions inside the part left out. That skips nothing within the bound. No line's text is shuffled in this step.
 
+Very long texts and lines: a deletion's key comes of sums over the line's prefixes, so a line of n characters takes time
+in proportion to n, and keys are made and sent on in blocks of bounded size.
+
 Blank lines always stay. Lines under ``min_chars`` characters are only dropped when equal to an earlier one. A document
 that loses all its lines keeps its row with an empty text (dedup_lines) and is left out by the pipeline.
 Nulls: a null text has no lines and stays null; a null doc_id comes first in order. Rows with the same doc_id and text
@@ -19,9 +22,10 @@ are returned, whatever their names.
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,10 +59,50 @@ def part_keys(line: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def neighbourhood(line: str, parts: set[tuple[int, int]]) -> list[tuple[int, int, int]]:
-    """(h1, h2, place): the line itself (place -1) and its deletions at the places inside the parts."""
-    places = sorted({i for u, part in parts for i in range(part * u, len(line) - (3 - part) * u)})
-    return [(*line_hash(line.encode()), -1), *((*line_hash((line[:i] + line[i + 1 :]).encode()), i) for i in places)]
+#: The four largest primes below 2^31, and a base for each.
+_PRIMES = np.array([[2147483647], [2147483629], [2147483587], [2147483579]], dtype=np.uint64)
+_BASES = (1103515245, 1664525001, 1812433253, 1566083941)
+_INVERSES = np.array([[pow(b, -1, int(p))] for b, p in zip(_BASES, _PRIMES[:, 0], strict=True)], dtype=np.uint64)
+_BLOCK = 1 << 13
+_POWERS = np.array([[pow(b, i, int(p)) for i in range(_BLOCK + 1)] for b, p in zip(_BASES, _PRIMES[:, 0], strict=True)], dtype=np.uint64)
+
+
+def _prefix_sums(codes: np.ndarray):
+    """(first place, sums) of each block of a line: the polynomial hashes of all prefixes that end in it, by prime."""
+    at, scale = np.zeros((4, 1), np.uint64), np.ones((4, 1), np.uint64)
+    for i in range(0, len(codes), _BLOCK):
+        block = codes[i : i + _BLOCK]
+        terms = block * _POWERS[:, : len(block)] % _PRIMES * scale % _PRIMES
+        sums = np.concatenate([at, (at + np.cumsum(terms, axis=1)) % _PRIMES], axis=1)
+        yield i, sums
+        at, scale = sums[:, -1:], scale * _POWERS[:, _BLOCK:] % _PRIMES
+
+
+def _two_keys(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    pairs = (sums[::2] << np.uint64(31)) | sums[1::2]
+    return pairs[0].astype(np.int64), pairs[1].astype(np.int64)
+
+
+def neighbourhood(line: str, parts: set[tuple[int, int]]):
+    """Arrays (v1, v2, place), block by block: the keys of the line itself (place -1) and of its deletions at the places
+    inside the parts. Equal strings have equal keys. A key takes the sums of the prefixes before and after its place."""
+    codes = np.frombuffer(line.encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1)
+    for _, sums in _prefix_sums(codes):
+        whole = sums[:, -1:]
+    yield *_two_keys(whole), np.array([-1])
+    for first, sums in _prefix_sums(codes):
+        places = np.arange(first, first + sums.shape[1] - 1)
+        inside = np.zeros(len(places), bool)
+        for u, part in parts:
+            inside |= (places >= part * u) & (places < len(codes) - (3 - part) * u)
+        before, after = sums[:, :-1][:, inside], sums[:, 1:][:, inside]
+        yield *_two_keys((before + (whole + _PRIMES - after) % _PRIMES * _INVERSES) % _PRIMES), places[inside]
+
+
+def _without(line: str, place: str) -> Column:
+    """A line without the character at a place; whole if the place is -1."""
+    p = F.col(place).cast("int")
+    return F.when(p < 0, F.col(line)).otherwise(F.concat(F.substring(line, F.lit(1), p), F.expr(f"substring({line}, cast({place} as int) + 2)")))
 
 
 @tidy
@@ -128,22 +172,26 @@ def dedup_lines(docs: DataFrame, min_chars: int = 16) -> DataFrame:
 
     texts = materialize(held.mapInArrow(pick, "h1 long, h2 long, doc long, tk long, n int, slots array<int>, line string").dropDuplicates(["h1", "h2"]), "lines-text")
 
-    names = ["v1", "v2", "doc", "tk", "n", "place", "h1", "h2"]
-
     def emit(batches):
         for batch in batches:
-            rows = []
-            for h1, h2, doc, tk, n, slots, line in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            held, size = [], 0
+            for row, (slots, line) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("slots", "line")), strict=True)):
                 keys = part_keys(line)
-                rows += [(v1, v2, doc, tk, n, place, h1, h2) for v1, v2, place in neighbourhood(line, {keys[s][1:] for s in slots})]
-                if len(rows) > 50_000:
-                    yield out(rows)
-                    rows = []
-            yield out(rows)
-
-    def out(rows):
-        c = list(zip(*rows, strict=True)) if rows else [()] * 8
-        return pa.RecordBatch.from_arrays([pa.array(x, pa.int32() if k in ("place", "n") else pa.int64()) for x, k in zip(c, names, strict=True)], names=names)
+                for v1, v2, place in neighbourhood(line, {keys[s][1:] for s in slots}):
+                    held.append((row, v1, v2, place))
+                    size += len(place)
+                    if size > 50_000:
+                        yield variants_of(batch, held)
+                        held, size = [], 0
+            if held:
+                yield variants_of(batch, held)
+
+    def variants_of(batch, held):
+        row = pa.array(np.repeat([x[0] for x in held], [len(x[3]) for x in held]))
+        v1, v2, place = (pa.array(np.concatenate([x[i] for x in held])) for i in (1, 2, 3))
+        made = {"v1": v1, "v2": v2, "place": place.cast(pa.int32())}
+        names = ["v1", "v2", "doc", "tk", "n", "place", "h1", "h2"]
+        return pa.RecordBatch.from_arrays([made[c] if c in made else batch.column(c).take(row) for c in names], names=names)
 
     def meet(batches):
         """Rows sorted by key, then by the line's place in the corpus: each line with the earliest one that it meets.
@@ -151,29 +199,31 @@ def dedup_lines(docs: DataFrame, min_chars: int = 16) -> DataFrame:
         Under one key, the whole line meets deletions and a deletion meets the whole line and deletions of its place.
         Earlier lines come first, so the earliest of each place is all that is held.
         """
-        key, whole, cut, same = None, None, None, {}
+        key, whole, cut, cut_at, same = None, None, None, None, {}
         for batch in batches:
             found = []
             for v1, v2, _, _, _, place, h1, h2 in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (v1, v2) != key:
-                    key, whole, cut = (v1, v2), None, None
+                    key, whole, cut, cut_at = (v1, v2), None, None, None
                     same.clear()
                 me = (h1, h2)
-                others = (cut,) if place < 0 else (whole, same.get(place))
-                found += [(h1, h2, *x) for x in others if x and x != me]
+                others = ((cut, cut_at),) if place < 0 else ((whole, -1), (same.get(place), place))
+                found += [(h1, h2, *x, place, at) for x, at in others if x and x != me]
                 if place < 0:
                     whole = whole or me
                 else:
-                    cut = cut or me
+                    if cut is None:
+                        cut, cut_at = me, place
                     same.setdefault(place, me)
-            c = list(zip(*found, strict=True)) if found else [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in c], names=["h1", "h2", "o1", "o2"])
+            c = list(zip(*found, strict=True)) if found else [()] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in c], names=["h1", "h2", "o1", "o2", "cut", "o_cut"])
 
     variants = texts.mapInArrow(emit, "v1 long, v2 long, doc long, tk long, n int, place int, h1 long, h2 long")
     variants = variants.repartition("v1", "v2").sortWithinPartitions("v1", "v2", "doc", "tk", "n", "place")
-    pairs = materialize(variants.mapInArrow(meet, "h1 long, h2 long, o1 long, o2 long").distinct(), "lines-pairs")
+    pairs = materialize(variants.mapInArrow(meet, "h1 long, h2 long, o1 long, o2 long, cut long, o_cut long").dropDuplicates(["h1", "h2", "o1", "o2"]), "lines-pairs")
     a, b = texts.select("h1", "h2", F.col("line").alias("a")), texts.select(F.col("h1").alias("o1"), F.col("h2").alias("o2"), F.col("line").alias("b"))
-    gone = materialize(pairs.join(a, ["h1", "h2"]).join(b, ["o1", "o2"]).where(F.levenshtein("a", "b", 1) >= 0).where(F.length("a") >= min_chars).select("h1", "h2"), "lines-gone")
+    met = pairs.join(a, ["h1", "h2"]).join(b, ["o1", "o2"]).where(_without("a", "cut") == _without("b", "o_cut"))
+    gone = materialize(met.where(F.length("a") >= min_chars).select("h1", "h2").distinct(), "lines-gone")
 
     kept = first.select("h1", "h2", "at").join(gone, ["h1", "h2"], "left_anti").groupBy(F.col("at.doc").alias("doc"), F.col("at.tk").alias("tk")).agg(F.collect_list("at.n").alias("kept"))
     kept = materialize(kept, "lines-kept")  # all that the result reads of these tables

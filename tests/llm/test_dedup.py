@@ -265,3 +265,26 @@ def test_components_of_chains(spark):
     got = dict(components(spark.createDataFrame(links, "a long, b long")).collect())
     assert got == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100, 102: 100}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_keys_of_deletions_are_those_of_the_strings():
+    rng = random.Random(8)
+    for n in (1, 2, 17, lines._BLOCK - 1, lines._BLOCK, lines._BLOCK + 3):
+        line = "".join(rng.choice("abé𝄞\x00") for _ in range(n))
+        found = {p: (v1, v2) for a, b, c in lines.neighbourhood(line, {(0, 0)}) for v1, v2, p in zip(a, b, c, strict=True)}
+        assert sorted(found) == list(range(-1, n))
+        whole = lambda s: next((a[0], b[0]) for a, b, _ in lines.neighbourhood(s, set()))
+        assert found[-1] == whole(line)
+        for i in rng.sample(range(n), min(n, 20)):
+            if n > 1:
+                assert found[i] == whole(line[:i] + line[i + 1 :])
+                if i and line[i] != line[i - 1]:
+                    assert found[i] != found[i - 1]
+
+
+def test_very_long_lines(spark):
+    rng = random.Random(9)
+    long = "".join(rng.choice("abcdef ") for _ in range(300_000)) + "z"
+    texts = [long, long[:150_000] + long[150_001:], "other\n" + long[:7] + "x" + long[8:], long]
+    got = rows(lines.dedup_lines(docs_of(spark, texts)).select("doc_id", "text"))
+    assert got == [(0, long), (1, ""), (2, "other"), (3, "")]
