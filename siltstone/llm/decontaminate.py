@@ -7,7 +7,14 @@ finds every such pair. Candidates are verified by exact weighted-shingle similar
 
 Windows that can't pass the verification are never hashed: similarity s of two windows of n shingles needs 2sn/(1+s)
 shared ones, so only windows are built in which that many positions hold a shingle of some item of that length. This
-drops nothing that the verification would keep.
+drops nothing that the verification would keep. They come of the sorted positions: a run of that many hits that fits a
+window gives its starts, and runs give disjoint ones, so rows are hits and windows to be verified, never their product.
+
+Two windows at a similarity of just 0.8 differ in about 10 of 64 bits. In a simulation (40,000 pairs each of 50, 100 and
+200 words without repeats, 11 % of them changed) more than 21 bits differ in 0.02 %, 0.01 % and 0.01 % of pairs, more
+than 15 in 2 to 3 %; so the radius is 21, and that is the loss at the border.
+
+Very long texts go whole; a match costs the square of its item's length, as each of its windows is verified.
 
 Nulls: null texts have no words. Items and documents under five words match nothing. A null doc_id is a value like any
 other. Repeated rows match alike. An empty table on either side gives no rows. Other columns are not read.
@@ -44,7 +51,7 @@ def index_blocks(fp: Column, radius: int) -> Column:
     return F.array(*[F.struct(F.lit(i).alias("block"), F.shiftrightunsigned(fp, a).bitwiseAND(F.lit((1 << (b - a)) - 1).cast("long")).alias("value")) for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False))])
 
 @tidy
-def decontaminate(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, shingle: int = 5, radius: int = 15) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, shingle: int = 5, radius: int = 21) -> DataFrame:
     """One row (doc_id, text_key, item_id, similarity) for each document and item that it holds a window of.
 
     text_key is xxhash64 of the text.
@@ -55,12 +62,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), F.col("text").cast("string").alias("text"))
     spread = slim.select("doc_id", "text_key", F.posexplode(let(normal_words(F.col("text")), lambda w: shingle_hashes(w, shingle))).alias("pos", "gram"))
-    hits = materialize(spread.join(broadcast_if_small(grams), "gram").select("doc_id", "text_key", "pos", "w").distinct(), "decon")
+    hits = spread.join(broadcast_if_small(grams), "gram").groupBy("doc_id", "text_key", "w").agg(F.array_sort(F.collect_set("pos")).alias("ps"))
 
     width = F.col("w") - (shingle - 1)
-    starts = hits.select("doc_id", "text_key", "w", F.explode(F.sequence(F.greatest(F.col("pos") - width + 1, F.lit(0)), F.col("pos"))).alias("start"))
-    starts = starts.groupBy("doc_id", "text_key", "w", "start").count().where(F.col("count") >= F.ceil(F.lit(2 * similarity / (1 + similarity)) * width - 1e-9))
-    starts = materialize(starts.drop("count"), "decon")
+    least = F.ceil(F.lit(2 * similarity / (1 + similarity)) * width - 1e-9).cast("int")
+    lasts = F.slice("ps", least, F.greatest(F.size("ps") - least + 1, F.lit(0)))
+    runs = F.transform(lasts, lambda last, i: F.struct(F.greatest(last - width + 1, F.get("ps", i - 1) + 1, F.lit(0)).alias("a"), F.get("ps", i).alias("b")))
+    starts = hits.select("doc_id", "text_key", "w", F.explode(F.filter(runs, lambda r: r["a"] <= r["b"])).alias("r"))
+    starts = starts.select("doc_id", "text_key", "w", F.explode(F.sequence("r.a", "r.b")).alias("start"))
 
     wanted = materialize(starts.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("w", "start")).alias("at")), "decon")
     right = broadcast_if_small(wanted).alias("r")
