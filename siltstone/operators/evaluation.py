@@ -85,5 +85,17 @@ def phase_at(steps: DataFrame, schedule: DataFrame, step: str) -> DataFrame:
 
 
 def human_size(c: Column) -> Column:
+    """A whole number of bytes as text, null for null. Halves go to the even digit, as C's printf rounds quotients by powers
+    of two, where ``format_string`` would round them up; digits are made of whole numbers, so nothing is rounded before."""
+
+    def scaled(bits: int, digits: int, unit: str) -> Column:
+        mask, tens = F.lit((1 << bits) - 1).cast("long"), 10**digits
+        shifted = c.bitwiseAND(mask) * tens
+        low, twice = F.shiftright(shifted, bits), shifted.bitwiseAND(mask) * 2
+        up = (twice > 1 << bits) | ((twice == 1 << bits) & (low % 2 == 1))
+        low = low + up.cast("long")
+        return F.format_string(f"%d.%0{digits}d {unit}", F.shiftright(c, bits) + (low == tens).cast("long"), low % tens)
+
     k = 1024
-    return F.when(c < k, F.format_string("%d B", c)).when(c < k**2, F.format_string("%.1f KB", c / k)).when(c < k**3, F.format_string("%.1f MB", c / k**2)).otherwise(F.format_string("%.2f GB", c / k**3))
+    c = c.cast("long")
+    return F.when(c < k, F.format_string("%d B", c)).when(c < k**2, scaled(10, 1, "KB")).when(c < k**3, scaled(20, 1, "MB")).when(c.isNotNull(), scaled(30, 2, "GB"))

@@ -247,6 +247,16 @@ def test_workspace(spark):
         workspace.call("nope")
 
 
+def test_sizes_are_rounded_as_by_printf(spark):
+    """Halves go to the even digit; nulls stay null."""
+    k = 1024
+    want = {1023: "1023 B", -5: "-5 B", 1280: "1.2 KB", 1792: "1.8 KB", k**2 - 1: "1024.0 KB", k**2 * 5 // 4: "1.2 MB", k**2 * 7 // 4: "1.8 MB", k**3 // 8 * 9: "1.12 GB", k**3 // 8 * 11: "1.38 GB", k**3 * 2 - 1: "2.00 GB"}
+    for n in (*range(1024, 1 << 20, 9973), *range(1 << 20, 1 << 30, 9_999_991), *range(1 << 30, 1 << 37, 999_999_937)):
+        want[n] = f"{n / k:.1f} KB" if n < k**2 else f"{n / k**2:.1f} MB" if n < k**3 else f"{n / k**3:.2f} GB"
+    df = spark.createDataFrame([(n,) for n in (*want, None)], "n long")
+    assert dict(map(tuple, df.select("n", evaluation.human_size(F.col("n"))).collect())) == want | {None: None}
+
+
 def test_groups_and_gates(spark):
     from siltstone.operators import stats
 
