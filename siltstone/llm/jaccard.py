@@ -18,8 +18,8 @@ A document is its set of XXH64 values over five-word shingles (words as in simha
 Before a pair's whole sets are fetched, the counts of their shingles by the first bits give an upper bound of the
 similarity; only pairs that it leaves are verified.
 
-The order takes shingles of seldom used buckets first, by a sketch of counts over a bounded sample of the documents, so
-that phrases which many documents share are not what they meet by. Any sketch gives the same result.
+The order takes shingles of seldom used buckets first, by counts over all documents, so that phrases which many documents
+share are not what they meet by. Any counts give the same result.
 
 Nulls: null and wordless texts have the empty set and are one group; a text under five words is one shingle. Repeated
 rows share a group. Ties don't matter: groups are whole components. A text may be of any length; its set is held in
@@ -55,7 +55,7 @@ def prefix(grams: np.ndarray, ranks: np.ndarray, shift: int, similarity: float)
 
 
 def bucket_counts(slim: DataFrame, sample: int, shingle: int, seed: int) -> np.ndarray:
-    """Shingles by the first bits of their hash, over one document in ``sample``."""
+    """Shingles by the first bits of their hash, over all documents, or one in ``sample``."""
 
     def tally(batches):
         counts = np.zeros(1 << _BITS, np.int64)
@@ -66,7 +66,7 @@ def bucket_counts(slim: DataFrame, sample: int, shingle: int, seed: int) -> np.n
         at = np.nonzero(counts)[0]
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["bucket", "c"])
 
-    some = slim.where(F.pmod("text_key", F.lit(sample)) == 0).select("text")
+    some = (slim.where(F.pmod("text_key", F.lit(sample)) == 0) if sample > 1 else slim).select("text")
     table = some.mapInArrow(tally, "bucket long, c long").groupBy("bucket").agg(F.sum("c").alias("c")).toArrow()
     out = np.zeros(1 << _BITS, np.int64)
     out[table.column("bucket").to_numpy()] = table.column("c").to_numpy()
@@ -243,11 +243,13 @@ def bounded_pairs(similarity: float):
 
 
 @tidy
-def similar_documents(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, seed: int = 42, threshold: int = 3, home_size: int = 128, anchor_rows: int = 100_000, sample_docs: int = 100_000) -> DataFrame:
-    """doc_id, text_key (xxhash64 of the text) and root, which names the component over all pairs of ``similarity``."""
+def similar_documents(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, seed: int = 42, threshold: int = 3, home_size: int = 128, anchor_rows: int = 100_000, sample_docs: int | None = None) -> DataFrame:
+    """doc_id, text_key (xxhash64 of the text) and root, which names the component over all pairs of ``similarity``. The order
+    of shingles comes of all documents; only a caller that sets ``sample_docs``, as a test of other orders does, has it come
+    of about so many, with the same result."""
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("text_key"))
-    n = slim.count()
-    ranks = docs.sparkSession.sparkContext.broadcast(bucket_counts(slim, max(1, n // sample_docs), shingle, seed))
+    sample = max(1, slim.count() // sample_docs) if sample_docs else 1
+    ranks = docs.sparkSession.sparkContext.broadcast(bucket_counts(slim, sample, shingle, seed))
 
     def scan(batches):
         for batch in small_parts(batches):

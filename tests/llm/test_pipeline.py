@@ -139,3 +139,18 @@ def test_rows_of_a_shingle_meet_in_blocks(spark, blocks):
             got += [frozenset(p) for p in zip(name[i].tolist(), name[j].tolist())]
     want = [frozenset((x[3], y[3])) for x in marked for y in marked if x[0] == y[0] and x[3] < y[3] and x[1] != y[1] and jaccard.can_reach(x[2], x[4], y[2], y[4], 0.8)]
     assert sorted(map(sorted, got)) == sorted(map(sorted, want)) and want
+
+
+def test_order_of_shingles_comes_of_all_documents(spark, monkeypatch):
+    """However many there are: the counts hold every document's one shingle."""
+
+    class Counted(Exception):
+        pass
+
+    def counted(*args, real=jaccard.bucket_counts):
+        raise Counted(real(*args).sum())
+
+    monkeypatch.setattr(jaccard, "bucket_counts", counted)
+    docs = spark.range(0, 200_001, 1, 4).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    with pytest.raises(Counted, match="^200001$"):
+        jaccard.similar_documents(docs)
