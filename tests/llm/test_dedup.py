@@ -139,6 +139,15 @@ def test_bytes_default_window(spark):
     assert want[1][2] >= 400 and want[6][2] == 500 and want[7][2] == 0
 
 
+def test_bytes_of_a_piece_of_one_window(spark):
+    """A repeated piece that is one window lies within another piece of its text."""
+    a, b = "cdcdcdcdab", "cdcdbacdb"
+    texts = [a * 6, a + b + a * 2 + b + a + b * 2 + "cd" + b + a + b * 3]
+    want = sorted(((i, *x) for i, x in enumerate(brute_bytes([t.encode() for t in texts], 40))), key=repr)
+    out = suffixes.remove_repeated_bytes(docs_of(spark, texts), 40).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert rows(out) == want
+
+
 def brute_words(ids, texts, w):
     first, out = {}, []
     order = [(1 << 62 if i is None else i, (t or "").encode().split()) for i, t in zip(ids, texts)]
@@ -167,6 +176,12 @@ def test_passages_against_brute_force(spark, group_rows):
     assert sum(x[2] for x in want) > 30
 
 
+def test_passages_of_a_piece_of_one_window(spark):
+    texts = ["a b b a a b a b b a a b", "b a b b a a b a b b a a b a b b a a b"]
+    out = substrings.remove_repeated_passages(docs_of(spark, texts), 7).select("doc_id", "n_words", "n_removed", "kept_sha256")
+    assert rows(out) == brute_words(range(2), texts, 7)
+
+
 def test_passages_and_bytes_of_nothing(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, extra int")
     assert substrings.remove_repeated_passages(empty).count() == 0
